@@ -8,6 +8,7 @@ from parcelkit.plans.registry import BENCH, ORACLE, QUERIES  # noqa: F401
 
 _MODULES = [
     "parcelkit.plans.q_feedback",
+    "parcelkit.plans.q_clean",
 ]
 
 for _m in _MODULES:
