@@ -60,7 +60,7 @@ def assess(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad((F.col("c_nationkey") + 2100).cast("string"), 5, "0").alias("ZIP_CODE"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).cast("bigint").alias("OWN_OCC"),
         (q * 2000 + F.col("p_retailprice")).alias("prediction"),
-        "p_size", "p_name", "p_retailprice", "c_nationkey", "c_mktsegment",
+        "p_size", "p_name", "p_type", "p_retailprice", "c_nationkey", "c_mktsegment",
         "o_orderstatus", "o_orderpriority", "o_orderdate", "l_shipdate",
         "l_quantity", "l_discount", "l_tax",
     )
@@ -131,3 +131,84 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parcelkit.operators.feedback import validate_feedback
     v = validate_feedback(feedback_raw(spark, sf_dir))
     return v.where(F.col("accepted")).drop("accepted", "reasons", "needs_confirmation")
+
+
+def with_indicators(a: DataFrame) -> DataFrame:
+    """Indicator (one-hot) columns of the model feature list, derived from
+    ``assess`` rows (a subset of the 31, to exercise 'available only')."""
+    ln, ps = F.col("l_linenumber"), F.col("p_size")
+    digit = F.substring("o_orderpriority", 1, 1)
+
+    def flag(cond):
+        return F.coalesce(cond, F.lit(False)).cast("bigint")
+
+    cols = {
+        "OVERALL_COND_P - POOR": flag(digit == "1"),
+        "OVERALL_COND_F - FAIR": flag(digit == "2"),
+        "OVERALL_COND_A - AVERAGE": flag(digit == "3"),
+        "OVERALL_COND_G - GOOD": flag(digit == "4"),
+        "OVERALL_COND_E - EXCELLENT": flag(digit == "5"),
+        "OVERALL_COND_VG - VERY GOOD": flag(ps % 9 == 0),
+        "INT_COND_E - EXCELLENT": flag(ln % 5 == 0),
+        "INT_COND_G - GOOD": flag(ln % 5 == 1),
+        "INT_COND_A - AVERAGE": flag(ln % 5 == 2),
+        "INT_COND_F - FAIR": flag(ln % 5 == 3),
+        "INT_COND_P - POOR": flag(ln % 5 == 4),
+        "EXT_COND_E - EXCELLENT": flag(ps % 3 == 0),
+        "EXT_COND_G - GOOD": flag(ps % 3 == 1),
+        "STRUCTURE_CLASS_C - BRICK/CONCR": flag(F.col("p_type").isin("ECONOMY", "SMALL")),
+        "STRUCTURE_CLASS_D - WOOD/FRAME": flag(F.col("p_type").isin("MEDIUM", "STANDARD")),
+        "STRUCTURE_CLASS_B - REINF CONCR": flag(F.col("p_type") == "LARGE"),
+        "KITCHEN_STYLE2_M - MODERN": flag(F.col("c_mktsegment") == "HOUSEHOLD"),
+        "KITCHEN_STYLE2_L - LUXURY": flag(F.col("c_mktsegment") == "MACHINERY"),
+        "KITCHEN_STYLE2_S - SEMI-MODERN": flag(F.col("c_mktsegment") == "FURNITURE"),
+        "AC_TYPE_C - CENTRAL AC": flag(F.col("o_orderstatus") == "F"),
+        "AC_TYPE_D - DUCTLESS AC": flag(F.col("o_orderstatus") == "O"),
+        "CORNER_UNIT_Y - YES": flag(ln == 1),
+    }
+    return a.withColumns(cols)
+
+
+def valuation_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw form records (text fields, drop-downs, check boxes) from rows."""
+    a = assess(spark, sf_dir)
+    ln, ps = F.col("l_linenumber"), F.col("p_size")
+    digit = F.substring("o_orderpriority", 1, 1)
+
+    def s(c):
+        return F.col(c).cast("string")
+
+    overall = (F.when(ps % 9 == 0, "Very Good").when(digit == "1", "Poor").when(digit == "2", "Fair")
+               .when(digit == "3", "Average").when(digit == "4", "Good").otherwise("Excellent"))
+    return a.select(
+        *ROW_KEY,
+        F.when(ln == 5, F.lit("n/a")).otherwise(s("GROSS_AREA")).alias("GROSS_AREA"),
+        s("LIVING_AREA").alias("LIVING_AREA"),
+        s("LAND_SF").alias("LAND_SF"),
+        s("YR_BUILT").alias("YR_BUILT"),
+        F.coalesce(s("YR_REMODEL"), F.lit("")).alias("YR_REMODEL"),
+        s("BED_RMS").alias("BED_RMS"),
+        F.when(ps % 5 == 0, F.concat(s("FULL_BTH"), F.lit(".7"))).otherwise(s("FULL_BTH")).alias("FULL_BTH"),
+        s("HLF_BTH").alias("HLF_BTH"),
+        (ln % 3).cast("string").alias("NUM_PARKING"),
+        F.lit("").alias("FIREPLACES"),
+        F.lit("1").alias("KITCHENS"),
+        s("TT_RMS").alias("TT_RMS"),
+        F.when(F.col("c_nationkey") % 7 == 0, F.lit("")).otherwise(F.col("ZIP_CODE")).alias("ZIP_CODE"),
+        F.when(F.col("p_type") == "ECONOMY", "Brick/Concrete").when(F.col("p_type") == "MEDIUM", "Wood/Frame")
+         .when(F.col("p_type") == "LARGE", "Reinforced Concrete").otherwise("").alias("structureClass"),
+        F.when(ln % 6 == 0, "Excellent").when(ln % 6 == 1, "Good").when(ln % 6 == 2, "Average")
+         .when(ln % 6 == 3, "Fair").when(ln % 6 == 4, "Poor").otherwise("").alias("intCondition"),
+        overall.alias("overallCondition"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Modern").when(F.col("c_mktsegment") == "MACHINERY", "Luxury")
+         .when(F.col("c_mktsegment") == "FURNITURE", "Semi-Modern").otherwise("").alias("kitchenStyle"),
+        (ln % 2 == 0).alias("kitchenTypeFullEatIn"),
+        F.when(F.col("o_orderstatus") == "F", "Central AC").when(F.col("o_orderstatus") == "O", "Ductless AC")
+         .otherwise("None").alias("acType"),
+        F.when(ps % 3 == 0, "Forced Hot Air").when(ps % 3 == 1, "Hot Water/Steam").otherwise("None").alias("heatType"),
+        F.when(ps % 4 == 0, "Excellent").when(ps % 4 == 1, "Good").otherwise("Average/Other").alias("propView"),
+        (ln == 1).alias("cornerUnit"),
+        F.when(ln % 3 == 0, "End").when(ln % 3 == 1, "Front/Street").otherwise("None").alias("orientation"),
+        F.when(ps % 5 == 0, "Excellent").when(ps % 5 == 1, "Good").otherwise("Average/Other").alias("extCondition"),
+        F.when(ln % 4 == 0, "Slate").when(ln % 4 == 1, "Asphalt Shingle").otherwise("None").alias("roofCover"),
+    )

@@ -9,6 +9,11 @@ from parcelkit.plans.registry import BENCH, ORACLE, QUERIES  # noqa: F401
 _MODULES = [
     "parcelkit.plans.q_feedback",
     "parcelkit.plans.q_clean",
+    "parcelkit.plans.q_features",
+    "parcelkit.plans.q_encode",
+    "parcelkit.plans.q_profile",
+    "parcelkit.plans.q_joins",
+    "parcelkit.plans.q_metrics",
 ]
 
 for _m in _MODULES:

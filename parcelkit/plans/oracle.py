@@ -29,7 +29,7 @@ assess AS (
     lpad(CAST(c_nationkey + 2100 AS VARCHAR), 5, '0') AS ZIP_CODE,
     CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS OWN_OCC,
     l_quantity * 2000 + p_retailprice AS prediction,
-    p_size, p_name, p_retailprice, c_nationkey, c_mktsegment, o_orderstatus,
+    p_size, p_name, p_type, p_retailprice, c_nationkey, c_mktsegment, o_orderstatus,
     o_orderpriority, o_orderdate, l_shipdate, l_quantity, l_discount, l_tax
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
@@ -123,3 +123,69 @@ def with_ctes(body: str, *names: str, extra: list[str] | None = None) -> str:
         add(n)
     parts = [_CTES[n][0].strip() for n in order] + [e.strip() for e in (extra or [])]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+INDICATORS = """
+assess_ind AS (
+  SELECT *,
+    CAST(substr(o_orderpriority, 1, 1) = '1' AS BIGINT) AS "OVERALL_COND_P - POOR",
+    CAST(substr(o_orderpriority, 1, 1) = '2' AS BIGINT) AS "OVERALL_COND_F - FAIR",
+    CAST(substr(o_orderpriority, 1, 1) = '3' AS BIGINT) AS "OVERALL_COND_A - AVERAGE",
+    CAST(substr(o_orderpriority, 1, 1) = '4' AS BIGINT) AS "OVERALL_COND_G - GOOD",
+    CAST(substr(o_orderpriority, 1, 1) = '5' AS BIGINT) AS "OVERALL_COND_E - EXCELLENT",
+    CAST(p_size % 9 = 0 AS BIGINT) AS "OVERALL_COND_VG - VERY GOOD",
+    CAST(l_linenumber % 5 = 0 AS BIGINT) AS "INT_COND_E - EXCELLENT",
+    CAST(l_linenumber % 5 = 1 AS BIGINT) AS "INT_COND_G - GOOD",
+    CAST(l_linenumber % 5 = 2 AS BIGINT) AS "INT_COND_A - AVERAGE",
+    CAST(l_linenumber % 5 = 3 AS BIGINT) AS "INT_COND_F - FAIR",
+    CAST(l_linenumber % 5 = 4 AS BIGINT) AS "INT_COND_P - POOR",
+    CAST(p_size % 3 = 0 AS BIGINT) AS "EXT_COND_E - EXCELLENT",
+    CAST(p_size % 3 = 1 AS BIGINT) AS "EXT_COND_G - GOOD",
+    CAST(p_type IN ('ECONOMY', 'SMALL') AS BIGINT) AS "STRUCTURE_CLASS_C - BRICK/CONCR",
+    CAST(p_type IN ('MEDIUM', 'STANDARD') AS BIGINT) AS "STRUCTURE_CLASS_D - WOOD/FRAME",
+    CAST(p_type = 'LARGE' AS BIGINT) AS "STRUCTURE_CLASS_B - REINF CONCR",
+    CAST(c_mktsegment = 'HOUSEHOLD' AS BIGINT) AS "KITCHEN_STYLE2_M - MODERN",
+    CAST(c_mktsegment = 'MACHINERY' AS BIGINT) AS "KITCHEN_STYLE2_L - LUXURY",
+    CAST(c_mktsegment = 'FURNITURE' AS BIGINT) AS "KITCHEN_STYLE2_S - SEMI-MODERN",
+    CAST(o_orderstatus = 'F' AS BIGINT) AS "AC_TYPE_C - CENTRAL AC",
+    CAST(o_orderstatus = 'O' AS BIGINT) AS "AC_TYPE_D - DUCTLESS AC",
+    CAST(l_linenumber = 1 AS BIGINT) AS "CORNER_UNIT_Y - YES"
+  FROM assess
+)"""
+
+FORM = """
+valuation_form AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+    CASE WHEN l_linenumber = 5 THEN 'n/a' ELSE CAST(GROSS_AREA AS VARCHAR) END AS GROSS_AREA,
+    CAST(LIVING_AREA AS VARCHAR) AS LIVING_AREA,
+    CAST(LAND_SF AS VARCHAR) AS LAND_SF,
+    CAST(YR_BUILT AS VARCHAR) AS YR_BUILT,
+    coalesce(CAST(YR_REMODEL AS VARCHAR), '') AS YR_REMODEL,
+    CAST(BED_RMS AS VARCHAR) AS BED_RMS,
+    CASE WHEN p_size % 5 = 0 THEN CAST(FULL_BTH AS VARCHAR) || '.7' ELSE CAST(FULL_BTH AS VARCHAR) END AS FULL_BTH,
+    CAST(HLF_BTH AS VARCHAR) AS HLF_BTH,
+    CAST(l_linenumber % 3 AS VARCHAR) AS NUM_PARKING,
+    '' AS FIREPLACES,
+    '1' AS KITCHENS,
+    CAST(TT_RMS AS VARCHAR) AS TT_RMS,
+    CASE WHEN c_nationkey % 7 = 0 THEN '' ELSE ZIP_CODE END AS ZIP_CODE,
+    CASE p_type WHEN 'ECONOMY' THEN 'Brick/Concrete' WHEN 'MEDIUM' THEN 'Wood/Frame'
+      WHEN 'LARGE' THEN 'Reinforced Concrete' ELSE '' END AS structureClass,
+    CASE l_linenumber % 6 WHEN 0 THEN 'Excellent' WHEN 1 THEN 'Good' WHEN 2 THEN 'Average'
+      WHEN 3 THEN 'Fair' WHEN 4 THEN 'Poor' ELSE '' END AS intCondition,
+    CASE WHEN p_size % 9 = 0 THEN 'Very Good' ELSE CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Poor'
+      WHEN '2' THEN 'Fair' WHEN '3' THEN 'Average' WHEN '4' THEN 'Good' ELSE 'Excellent' END END AS overallCondition,
+    CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Modern' WHEN 'MACHINERY' THEN 'Luxury'
+      WHEN 'FURNITURE' THEN 'Semi-Modern' ELSE '' END AS kitchenStyle,
+    l_linenumber % 2 = 0 AS kitchenTypeFullEatIn,
+    CASE o_orderstatus WHEN 'F' THEN 'Central AC' WHEN 'O' THEN 'Ductless AC' ELSE 'None' END AS acType,
+    CASE p_size % 3 WHEN 0 THEN 'Forced Hot Air' WHEN 1 THEN 'Hot Water/Steam' ELSE 'None' END AS heatType,
+    CASE p_size % 4 WHEN 0 THEN 'Excellent' WHEN 1 THEN 'Good' ELSE 'Average/Other' END AS propView,
+    l_linenumber = 1 AS cornerUnit,
+    CASE l_linenumber % 3 WHEN 0 THEN 'End' WHEN 1 THEN 'Front/Street' ELSE 'None' END AS orientation,
+    CASE p_size % 5 WHEN 0 THEN 'Excellent' WHEN 1 THEN 'Good' ELSE 'Average/Other' END AS extCondition,
+    CASE l_linenumber % 4 WHEN 0 THEN 'Slate' WHEN 1 THEN 'Asphalt Shingle' ELSE 'None' END AS roofCover
+  FROM assess
+)"""
+
+_CTES["assess_ind"] = (INDICATORS, ["assess"])
+_CTES["valuation_form"] = (FORM, ["assess"])

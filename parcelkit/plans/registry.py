@@ -32,12 +32,20 @@ def register(name: str, sql: str | None = None, bench: bool = False):
     return deco
 
 
+def round_to(c, digits: int = 4):
+    """round(x * 10^d) / 10^d: the same IEEE steps as the oracle engine's
+    double rounding, so a value exactly between two 4-decimal numbers in
+    decimal text but not in binary rounds the same way on both sides."""
+    m = float(10 ** digits)
+    return F.round(c * m, 0) / m
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every double/float column (presentation for cross-engine checks)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name))
+            cols.append(round_to(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
