@@ -96,7 +96,8 @@ class ImputeModel:
     values: dict = field(default_factory=dict)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(_q(c), F.lit(v)) for c, v in self.values.items()
+        types = {f.name: f.dataType for f in df.schema.fields}
+        return df.withColumns({c: F.coalesce(_q(c), F.lit(v).cast(types[c])) for c, v in self.values.items()
                                if v is not None and c in df.columns})
 
 
@@ -143,12 +144,10 @@ def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: s
         else:
             for c in cat:
                 values[c] = "UNKNOWN"
-    for c in roles.get("boolean", []):
-        values[c] = False
     types = {f.name: f.dataType for f in df.schema.fields}
-    for c, v in list(values.items()):
-        if v is not None and isinstance(types[c], BooleanType):
-            values[c] = bool(v)
+    for c in roles.get("boolean", []):
+        # boolean role: real booleans and 0/1 numerics; both fill as false / 0
+        values[c] = False if isinstance(types[c], BooleanType) else 0
     return ImputeModel(values)
 
 

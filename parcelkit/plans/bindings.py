@@ -34,6 +34,12 @@ def assess(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey)
            .join(c, o.o_custkey == c.c_custkey))
+    return assess_from_joined(j)
+
+
+def assess_from_joined(j: DataFrame) -> DataFrame:
+    """The role projection over lineitem x orders x part x customer rows
+    (batch or streaming line items)."""
     ln, q, ep = F.col("l_linenumber"), F.col("l_quantity"), F.col("l_extendedprice")
     digit = F.substring("o_orderpriority", 1, 1)
     cond = F.when(digit == "1", PRIORITY_CONDITION["1"])

@@ -14,6 +14,7 @@ _MODULES = [
     "parcelkit.plans.q_profile",
     "parcelkit.plans.q_joins",
     "parcelkit.plans.q_metrics",
+    "parcelkit.plans.q_ml",
 ]
 
 for _m in _MODULES:
