@@ -15,6 +15,7 @@ _MODULES = [
     "parcelkit.plans.q_joins",
     "parcelkit.plans.q_metrics",
     "parcelkit.plans.q_ml",
+    "parcelkit.plans.q_sources",
 ]
 
 for _m in _MODULES:
