@@ -29,7 +29,8 @@ def r2_score(y, pred) -> Column:
     """1 - SSE / SST as one aggregate expression."""
     y, p = _c(y), _c(pred)
     e = y - p
-    return 1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))
+    # constant y: SST = 0 -> r2 undefined (null), not a division error
+    return 1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))
 
 
 def metric_columns(y, pred) -> dict[str, Column]:
@@ -103,7 +104,7 @@ def disparities(by_group: DataFrame, group: str = "group", privileged=1, unprivi
     entries = []
     for m in metrics:
         p, u = F.col(f"p_{m}"), F.col(f"u_{m}")
-        entries += [F.lit(f"{m}_difference"), p - u, F.lit(f"{m}_ratio"), F.when(u != 0, p / u)]
+        entries += [F.lit(f"{m}_difference"), p - u, F.lit(f"{m}_ratio"), F.when(u != 0, F.try_divide(p, u))]
     long = wide.select(*by, F.stack(F.lit(len(entries) // 2), *entries).alias("disparity", "value"))
     v = F.col("value")
     return long.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
