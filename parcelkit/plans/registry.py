@@ -33,11 +33,13 @@ def register(name: str, sql: str | None = None, bench: bool = False):
 
 
 def round_to(c, digits: int = 4):
-    """round(x * 10^d) / 10^d: the same IEEE steps as the oracle engine's
-    double rounding, so a value exactly between two 4-decimal numbers in
-    decimal text but not in binary rounds the same way on both sides."""
+    """sign(x) * floor(|x| * 10^d + 0.5) / 10^d: half-away-from-zero rounding
+    with the same IEEE steps as the oracle engine's double rounding (a value
+    between two 4-decimal numbers in decimal text but not in binary rounds
+    the same way on both sides).  Cheap math only -- ``round`` on doubles
+    goes through BigDecimal, 2-3x slower on wide frames."""
     m = float(10 ** digits)
-    return F.round(c * m, 0) / m
+    return F.signum(c) * F.floor(F.abs(c * m) + 0.5) / m
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
