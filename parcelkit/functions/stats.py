@@ -69,10 +69,12 @@ def group_modes(df: DataFrame, group_cols: list[str], value_col: str,
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], names: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per group.
 
-    Nulls are ignored; a group with no values yields no row.
+    Nulls are ignored; a group with no values yields no row.  With
+    ``count_col`` the number of non-null values per group is returned too
+    (it is a by-product of the cumulative counts).
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     g = list(group_cols) or ["_g"]
@@ -105,13 +107,15 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                   .withColumn(f"_f_{name}", h - i0))
         aggs += [F.max(f"_v0_{name}").alias(f"_v0_{name}"), F.max(f"_v1_{name}").alias(f"_v1_{name}"),
                  F.max(f"_f_{name}").alias(f"_f_{name}")]
+    if count_col:
+        aggs.append(F.max("_n").alias(count_col))
     anyhit = hits[0]
     for hcol in hits[1:]:
         anyhit = anyhit | hcol
     picked = cum.where(anyhit).groupBy(*g).agg(*aggs)
     outs = [(F.col(f"_v0_{nm}") + (F.col(f"_v1_{nm}") - F.col(f"_v0_{nm}")) * F.col(f"_f_{nm}")).alias(nm)
             for nm in names]
-    res = picked.select(*g, *outs)
+    res = picked.select(*g, *outs, *([count_col] if count_col else []))
     return res if group_cols else res.drop("_g")
 
 

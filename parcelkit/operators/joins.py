@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 DEFAULT_POSITION = (42.3601, -71.0589)
 
 
-def size_checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def size_checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a limit, not a full
-    count); above the bound the plain DataFrame is returned and Spark plans
-    a shuffle join (AQE may still broadcast it from runtime statistics).
+    count).  Under the bound those rows are re-used as a local relation for
+    the broadcast (what a broadcast ships through the driver anyway), so the
+    small side's lineage is computed once, not once for the check and again
+    for the join.  Above the bound the plain DataFrame is returned and Spark
+    plans a shuffle join (AQE may still broadcast it from runtime sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df
 
 
 def align_target(features: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
@@ -28,7 +33,7 @@ def align_target(features: DataFrame, target: DataFrame, key: list[str]) -> Data
 
 
 def flag_members(df: DataFrame, members: DataFrame, key: str, out: str,
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 max_broadcast_rows: int = 200_000) -> DataFrame:
     """``out`` = 1 when ``df[key]`` is in ``members[key]``, else 0."""
     m = members.select(F.col(key).alias("_mk")).distinct().withColumn("_hit", F.lit(1))
     side = size_checked_broadcast(m, max_broadcast_rows)
@@ -37,7 +42,7 @@ def flag_members(df: DataFrame, members: DataFrame, key: str, out: str,
 
 
 def geo_lookup(df: DataFrame, zip_dim: DataFrame, zip_col: str = "ZIP_CODE",
-               default: tuple[float, float] = DEFAULT_POSITION, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+               default: tuple[float, float] = DEFAULT_POSITION, max_broadcast_rows: int = 200_000) -> DataFrame:
     """Attach (latitude, longitude) from a ZIP dimension; absent -> default."""
     dim = zip_dim.select(F.col(zip_col).alias("_z"), F.col("latitude").alias("_lat"),
                          F.col("longitude").alias("_lon"))
