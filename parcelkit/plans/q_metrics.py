@@ -204,6 +204,24 @@ def q_bias_report(spark, sf):
     return rounded(FA.bias_report(metrics, list(FEATURES)))
 
 
+@register("bias_summary", with_ctes(f"""
+SELECT count_if(sig) > 0 AS bias_detected, count(*) AS features_analyzed, count_if(sig) AS features_with_bias,
+  CASE WHEN count_if(sig) > 0 THEN 'Bias Detected' ELSE 'No Significant Bias' END AS status
+FROM (SELECT ((rr > up OR rr < lo OR r2d > r2t OR mpd > bp * ps) AND NOT isnan(rr) AND NOT isinf(rr)) AS sig FROM rep)""",
+                                   "assess", extra=[_HZ_SQL, _BM_SQL, _bias_report_sql()]))
+def q_bias_summary(spark, sf):
+    fa = _fairness_frame(spark, sf)
+    rep = FA.bias_report(FA.bias_metrics(FA.sensitive_long(fa, FEATURES, Y, P)), list(FEATURES))
+    return FA.bias_summary(rep)
+
+
+@register("bias_report_json")
+def q_bias_report_json(spark, sf):
+    fa = _fairness_frame(spark, sf)
+    rep = FA.bias_report(FA.bias_metrics(FA.sensitive_long(fa, FEATURES, Y, P)), list(FEATURES))
+    return FA.report_document(rep)
+
+
 @register("fairness_groups", with_ctes("""
 SELECT HIGH_VALUE_ZIP AS "group", count(*) AS n, round(avg(prediction), 4) AS mean_prediction,
   round(avg(TOTAL_VALUE), 4) AS mean_actual,

@@ -66,10 +66,15 @@ def q_feature_report(spark, sf):
 
 @register("final_dataset")
 def q_final_dataset(spark, sf):
+    """Engineered X joined back to y (K17), written partitioned by split
+    (A4) and read back with a partition filter (only the test files)."""
+    from parcelkit.sources.files import write_dataset
     e = PL.engineer_features(_clean(spark, sf)).data
     x = e.drop(Y)
     y = e.select(*KEY, Y)
-    return rounded(PL.final_dataset(x, y, KEY))
+    path = scratch_path(spark, "final-dataset")
+    write_dataset(rounded(PL.final_dataset(x, y, KEY)), path, "split")
+    return spark.read.parquet(path).where(F.col("split") == "test")
 
 
 # ------------------------------------------------------------------- ML --
@@ -127,6 +132,20 @@ def q_train_models(spark, sf):
     return rounded(table)
 
 
+@register("run_log")
+def q_run_log(spark, sf):
+    """Train loop (L7) with the experiment log (A9): metric rows of every
+    model appended to a Parquet log, read back."""
+    from parcelkit.sources.files import log_run
+    d = _ml_frame(spark, sf)
+    res = ML.train_models(d.where("split = 'train'"), d.where("split = 'test'"), _features(d), Y)
+    path = scratch_path(spark, "run-log")
+    for r in res:
+        metrics = r.metrics.drop("model").first().asDict()          # one aggregated row
+        log_run(spark, path, "run-1", r.name, metrics, ML.MODEL_DEFAULTS[r.name])
+    return spark.read.parquet(path).drop("ts")
+
+
 @register("validation_gate")
 def q_validation_gate(spark, sf):
     d = _ml_frame(spark, sf)
