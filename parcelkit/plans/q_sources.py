@@ -3,7 +3,6 @@ and data validation (N1-N4)."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import functions as F
 
@@ -73,15 +72,9 @@ def _bounds_sql_assess():
 def q_rules_bounds_check(spark, sf):
     """Rules written as a multi-line JSON config, loaded back (bounds map ->
     rules), then the configured bounds checked over the table (A8, J3, D2)."""
-    import json
-
-    from parcelkit.operators.quality import DEFAULT_BOUNDS, DEFAULT_MISSING_THRESHOLD, bounds_issues
-    path = os.path.join(scratch_path(spark, "rules"), "config.json")
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as f:
-        json.dump({"missing_threshold": DEFAULT_MISSING_THRESHOLD,
-                   "numeric_bounds": {c: {"min": lo, "max": hi} for c, (lo, hi) in DEFAULT_BOUNDS.items()}},
-                  f, indent=4)
+    from parcelkit.operators.quality import Rules, bounds_issues
+    path = scratch_path(spark, "rules-config")
+    S.write_rules(spark, Rules(), path)
     rules = S.load_rules(spark, path)
     return bounds_issues(b.assess(spark, sf), rules)
 

@@ -33,12 +33,15 @@ def test_rules_default_and_file(spark):
     with open(path, "w") as f:
         f.write('{\n "missing_threshold": 0.2,\n "numeric_bounds": {"X": {"min": 1, "max": 2}}\n}')
     r2 = S.load_rules(spark, path)
+    p2 = scratch_path(spark, "rules-test-2")
+    S.write_rules(spark, r2, p2)
+    assert S.load_rules(spark, p2) == r2
     assert r2.missing_threshold == 0.2 and r2.numeric_bounds == {"X": (1.0, 2.0)}
 
 
 def test_schema_file_create_if_absent(spark):
     df = spark.createDataFrame([(1, "a")], "x bigint, y string")
-    path = os.path.join(scratch_path(spark, "schema-test") + ".json")
+    path = scratch_path(spark, "schema-test")
     s1 = S.schema_or_create(df, path)
     other = spark.createDataFrame([(1.0,)], "z double")
     assert S.schema_or_create(other, path) == s1 == df.schema
