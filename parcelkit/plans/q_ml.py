@@ -191,6 +191,14 @@ def q_mitigate(spark, sf):
     return rounded(res.candidates)
 
 
+@register("bias_mitigation_rounds")
+def q_bias_mitigation_rounds(spark, sf):
+    """Evaluate -> mitigate significant features -> re-evaluate (M7)."""
+    d = _ml_frame(spark, sf)
+    return rounded(PL.evaluate_and_mitigate(d, _features(d), Y, {"OWN_OCC": "OWN_OCC"}, KEY, rounds=2,
+                                            name="linear", grid_size=2))
+
+
 # ------------------------------------------------------------- streaming --
 def _events_stream(spark, sf):
     schema = read_table(spark, sf, "events").schema

@@ -10,7 +10,7 @@ from parcelkit.operators import joins as J
 from parcelkit.operators import profile as P
 from parcelkit.plans import bindings as b
 from parcelkit.plans.oracle import with_ctes
-from parcelkit.plans.registry import register, rounded
+from parcelkit.plans.registry import register, round_to, rounded
 
 KEY = b.ROW_KEY
 KEY_SQL = ", ".join(KEY)
@@ -138,6 +138,35 @@ FROM dirty""", "dirty"))
 def q_format_values(spark, sf):
     d = b.dirty(spark, sf)
     return d.select(*KEY, T.fmt_dollar_suffix(F.col("TOTAL_VALUE")).alias("value_text"),
-                    T.fmt_thousands(F.round("LIVING_AREA_N", 4)).alias("living_area_text"),
-                    T.fmt_percent(F.round(F.col("LAND_VALUE") / F.col("TOTAL_VALUE") * 100, 4), 1)
+                    T.fmt_thousands(round_to(F.col("LIVING_AREA_N"))).alias("living_area_text"),
+                    T.fmt_percent(round_to(F.col("LAND_VALUE") / F.col("TOTAL_VALUE") * 100), 1)
                     .alias("land_share_text"))
+
+
+@register("residual_histogram", with_ctes("""
+SELECT g.bin, round(mn + g.bin * w, 4) AS lo,
+  round(CASE WHEN g.bin = 29 THEN mx ELSE mn + (g.bin + 1) * w END, 4) AS hi, coalesce(c.n, 0) AS count
+FROM (SELECT range AS bin FROM range(30)) g
+CROSS JOIN (SELECT min(r) AS mn, max(r) AS mx, (max(r) - min(r)) / 30 AS w FROM res) s
+LEFT JOIN (SELECT CAST(least(floor((r - (SELECT min(r) FROM res)) /
+                 ((SELECT max(r) - min(r) FROM res) / 30)), 29) AS BIGINT) AS bin, count(*) AS n
+           FROM res GROUP BY 1) c ON c.bin = g.bin
+ORDER BY 1""", "assess", extra=["res AS (SELECT TOTAL_VALUE - prediction AS r FROM assess)"]))
+def q_residual_histogram(spark, sf):
+    """Residual distribution (30 equal-width bins) of the stand-in model."""
+    a = b.assess(spark, sf).select((F.col("TOTAL_VALUE") - F.col("prediction")).alias("residual"))
+    return rounded(P.histogram(a, "residual", 30))
+
+
+@register("markdown_report")
+def q_markdown_report(spark, sf):
+    """Markdown summary (A12): overview, missing and numeric tables from the
+    profile, written as one text file and read back as lines."""
+    from parcelkit.session import scratch_path
+    frame = _prof_frame(spark, sf)
+    prof = P.column_profile(frame)
+    ov = P.overview(frame, prof).first().asDict()
+    lines = P.markdown_lines(ov, P.summary_tables(prof))
+    path = scratch_path(spark, "feature-report-md")
+    P.write_markdown(lines, path)
+    return spark.read.text(path)
