@@ -31,19 +31,30 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _pin(df: DataFrame, checkpoint: bool) -> DataFrame:
+    """Reliable checkpoint of a range-partitioned frame that is read twice
+    (rows and per-partition totals): both reads then see the same partition
+    boundaries even if Spark does not reuse the exchange or recomputes a
+    stage after an executor loss."""
+    if not checkpoint:
+        return df
+    from parcelkit.session import cut_lineage
+    return cut_lineage(df)
+
+
 def global_index(df: DataFrame, order_cols: list, name: str = "_idx",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Append a 1-based position ``name`` following ``order_cols``.
 
     ``order_cols`` must be a total order (include a unique tiebreak) so the
-    result is deterministic and survives recomputation after executor loss.
+    result is deterministic.
     """
     n = _n_parts(df, num_partitions)
-    ordered = (df.repartitionByRange(n, *order_cols)
-               .sortWithinPartitions(*order_cols)
-               .withColumn("_mid", F.monotonically_increasing_id())
-               .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-               .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+    ordered = _pin(df.repartitionByRange(n, *order_cols)
+                   .sortWithinPartitions(*order_cols)
+                   .withColumn("_mid", F.monotonically_increasing_id())
+                   .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
+                   .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)), checkpoint)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
@@ -69,7 +80,8 @@ def group_modes(df: DataFrame, group_cols: list[str], value_col: str,
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], names: list[str] | None = None,
-                    num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
+                    num_partitions: int | None = None, count_col: str | None = None,
+                    checkpoint: bool = True) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per group.
 
     Nulls are ignored; a group with no values yields no row.  With
@@ -81,7 +93,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     base = df if group_cols else df.withColumn("_g", F.lit(0))
     vc = value_counts(base, g, value_col)
     n = _n_parts(df, num_partitions)
-    ranged = vc.repartitionByRange(n, *g, value_col).withColumn("_pid", F.spark_partition_id())
+    ranged = _pin(vc.repartitionByRange(n, *g, value_col).withColumn("_pid", F.spark_partition_id()), checkpoint)
     w_local = (Window.partitionBy("_pid", *g).orderBy(value_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_lc", F.sum("_c").over(w_local))

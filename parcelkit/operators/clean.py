@@ -113,10 +113,11 @@ def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: s
     cat = roles.get("categorical", [])
     values: dict = {}
 
-    by_strategy = {c: numerical_strategy for c in other}
-    need_mode_num = year + [c for c, s in by_strategy.items() if s == "most_frequent"]
-    need_median = [c for c, s in by_strategy.items() if s == "median"] + year
-    need_mean = [c for c, s in by_strategy.items() if s == "mean"] + year
+    # year-like columns need their mode, plus the strategy statistic as a
+    # fallback; every other numeric needs only the strategy statistic.
+    need_mode_num = year + (other if numerical_strategy == "most_frequent" else [])
+    need_median = (other + year) if numerical_strategy == "median" else []
+    need_mean = (other + year) if numerical_strategy == "mean" else []
 
     num_modes = _modes(df, need_mode_num, "double")
     medians = _medians(df, need_median)
