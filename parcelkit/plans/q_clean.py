@@ -166,8 +166,8 @@ def q_clean_numeric(spark, sf):
 
 
 @register("numeric_audit", with_ctes("""
-SELECT 'GROSS_AREA_RAW' AS "column", count_if(GROSS_AREA_RAW <= 0) AS invalid FROM dirty
-UNION ALL SELECT 'TOTAL_VALUE_RAW', count_if(TOTAL_VALUE_RAW < 0) FROM dirty""", "dirty"))
+SELECT 'GROSS_AREA_RAW' AS "column", CAST(count_if(GROSS_AREA_RAW <= 0) AS BIGINT) AS invalid FROM dirty
+UNION ALL SELECT 'TOTAL_VALUE_RAW', CAST(count_if(TOTAL_VALUE_RAW < 0) AS BIGINT) FROM dirty""", "dirty"))
 def q_numeric_audit(spark, sf):
     return C.numeric_audit(_dirty(spark, sf), ["GROSS_AREA_RAW", "TOTAL_VALUE_RAW"])
 
@@ -232,9 +232,9 @@ def q_clip_zscore(spark, sf):
 
 
 @register("outlier_audit", with_ctes(f"""
-SELECT 'TOTAL_VALUE_OUT' AS "column", count_if(TOTAL_VALUE_OUT > {_iqr('TOTAL_VALUE_OUT')[1]}) AS n_clipped FROM dirty
-UNION ALL SELECT 'GROSS_AREA', count_if(GROSS_AREA < {_iqr('GROSS_AREA')[0]} OR GROSS_AREA > {_iqr('GROSS_AREA')[1]} * 1.5) FROM dirty
-UNION ALL SELECT 'TT_RMS', count_if(TT_RMS < {_iqr('TT_RMS')[0]} OR TT_RMS > {_iqr('TT_RMS')[1]}) FROM dirty""",
+SELECT 'TOTAL_VALUE_OUT' AS "column", CAST(count_if(TOTAL_VALUE_OUT > {_iqr('TOTAL_VALUE_OUT')[1]}) AS BIGINT) AS n_clipped FROM dirty
+UNION ALL SELECT 'GROSS_AREA', CAST(count_if(GROSS_AREA < {_iqr('GROSS_AREA')[0]} OR GROSS_AREA > {_iqr('GROSS_AREA')[1]} * 1.5) AS BIGINT) FROM dirty
+UNION ALL SELECT 'TT_RMS', CAST(count_if(TT_RMS < {_iqr('TT_RMS')[0]} OR TT_RMS > {_iqr('TT_RMS')[1]}) AS BIGINT) FROM dirty""",
                                         "dirty"))
 def q_outlier_audit(spark, sf):
     d = _dirty(spark, sf).select(*_K4)
@@ -268,7 +268,7 @@ FROM ({parts}) WHERE r > {threshold}"""
 
 def _bounds_sql(src):
     parts = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count_if({c} < {lo} OR {c} > {hi}) AS n FROM {src}"
+        f"SELECT '{c}' AS \"column\", CAST(count_if({c} < {lo} OR {c} > {hi}) AS BIGINT) AS n FROM {src}"
         for c, (lo, hi) in Q.DEFAULT_BOUNDS.items())
     return f"""SELECT "column", n AS n_outliers, 'Found ' || n || ' outliers in ' || "column" AS message
 FROM ({parts}) WHERE n > 0"""

@@ -205,7 +205,7 @@ def q_bias_report(spark, sf):
 
 
 @register("bias_summary", with_ctes(f"""
-SELECT count_if(sig) > 0 AS bias_detected, count(*) AS features_analyzed, count_if(sig) AS features_with_bias,
+SELECT count_if(sig) > 0 AS bias_detected, count(*) AS features_analyzed, CAST(count_if(sig) AS BIGINT) AS features_with_bias,
   CASE WHEN count_if(sig) > 0 THEN 'Bias Detected' ELSE 'No Significant Bias' END AS status
 FROM (SELECT ((rr > up OR rr < lo OR r2d > r2t OR mpd > bp * ps) AND NOT isnan(rr) AND NOT isinf(rr)) AS sig FROM rep)""",
                                    "assess", extra=[_HZ_SQL, _BM_SQL, _bias_report_sql()]))

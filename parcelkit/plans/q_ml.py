@@ -217,7 +217,7 @@ def q_stream_feedback_daily(spark, sf):
 
 
 @register("stream_retrain", with_ctes("""
-SELECT window_start, CAST(window_start + INTERVAL 30 DAY AS DATE) AS window_end, sum(n) AS feedback_count,
+SELECT window_start, CAST(window_start + INTERVAL 30 DAY AS DATE) AS window_end, CAST(sum(n) AS BIGINT) AS feedback_count,
   round(sqrt(sum(sse) / sum(n)), 4) AS rmse, round(sum(sae) / sum(n), 4) AS mae,
   round(sum(sdev) / sum(n), 4) AS avg_deviation,
   coalesce(sum(n) >= 50 AND (sqrt(sum(sse) / sum(n)) > 150000 OR sum(sae) / sum(n) > 100000
