@@ -33,3 +33,22 @@ def test_trailing_windows_cover_each_day_30_times(spark):
     days = daily.count()
     assert w.count() == days + 29
     assert w.agg({"feedback_count": "sum"}).first()[0] == 30 * daily.agg({"n": "sum"}).first()[0]
+
+
+def test_append_mode_omits_open_windows(spark):
+    """With a 1-day watermark, append mode emits only closed days: the last
+    day(s) are still open when the input ends; emitted days equal batch."""
+    complete = {r["date"]: r for r in ST.stream_feedback_daily(spark, _events(spark), mode="complete").collect()}
+    append = {r["date"]: r for r in ST.stream_feedback_daily(spark, _events(spark), mode="append").collect()}
+    assert 0 < len(append) < len(complete)
+    assert max(append) < max(complete)
+    for d, r in append.items():
+        assert r["feedback_count"] == complete[d]["feedback_count"]
+
+
+def test_update_mode_equals_complete(spark):
+    upd = sorted((r["date"], r["feedback_count"]) for r in
+                 ST.stream_feedback_daily(spark, _events(spark), mode="update").collect())
+    com = sorted((r["date"], r["feedback_count"]) for r in
+                 ST.stream_feedback_daily(spark, _events(spark), mode="complete").collect())
+    assert upd == com
