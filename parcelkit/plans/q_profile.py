@@ -105,12 +105,15 @@ def q_correlation_matrix(spark, sf):
 
 
 @register("regression_line", with_ctes("""
-SELECT CAST(regr_count(BLDG_VALUE, LIVING_AREA) AS BIGINT) AS n, round(regr_slope(BLDG_VALUE, LIVING_AREA), 4) AS slope,
-  round(regr_intercept(BLDG_VALUE, LIVING_AREA), 4) AS intercept, round(regr_r2(BLDG_VALUE, LIVING_AREA), 4) AS r2
-FROM dirty WHERE l_linenumber <> 6""", "dirty"))
+SELECT CAST(regr_count(BLDG_VALUE, LIVING_AREA_N) AS BIGINT) AS n,
+  round(regr_slope(BLDG_VALUE, LIVING_AREA_N), 4) AS slope,
+  round(regr_intercept(BLDG_VALUE, LIVING_AREA_N), 4) AS intercept,
+  round(regr_r2(BLDG_VALUE, LIVING_AREA_N), 4) AS r2
+FROM dirty""", "dirty"))
 def q_regression_line(spark, sf):
-    d = b.dirty(spark, sf).where(F.col("l_linenumber") != 6)
-    return rounded(P.regression_line(d, "BLDG_VALUE", "LIVING_AREA"))
+    """Least-squares line over the non-null (x, y) pairs of all rows."""
+    d = b.dirty(spark, sf)
+    return rounded(P.regression_line(d, "BLDG_VALUE", "LIVING_AREA_N"))
 
 
 @register("histogram", with_ctes("""
