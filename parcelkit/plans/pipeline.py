@@ -46,13 +46,15 @@ def clean_data(df: DataFrame, key: list[str], target: str = "TOTAL_VALUE", passt
     passthrough = passthrough or []
     issues = Q.quality_suite(df.drop(*key, *passthrough))
     value_cols = [c for c in df.columns if c not in key and c not in passthrough]
-    roles = column_roles(df.select(*value_cols))
     d = C.dedup_rows(df)
     if split_hash is None:
         split_hash = F.xxhash64(*[F.col(c) for c in key])
     d = hash_split(d, split_hash, test_fraction)
     if checkpoint:
         d = cut_lineage(d)
+    # roles from the deduplicated, checkpointed frame: one pass over the
+    # checkpoint instead of another pass over the source
+    roles = column_roles(d.select(*value_cols))
     fit_rows = d.where(F.col("split") == "train") if fit_on == "train" else d
     d = C.fit_impute(fit_rows, roles).apply(d)
     numeric_cols = [c for c in roles["numerical"] if c != target] + ([target] if target in roles["numerical"] else [])
