@@ -102,7 +102,7 @@ class ImputeModel:
 
 
 def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: str = "median",
-               categorical_strategy: str = "most_frequent", fill_value=0.0) -> ImputeModel:
+               categorical_strategy: str = "most_frequent", fill_value=0.0, exact: bool = True) -> ImputeModel:
     """Per-column fill values: year-like numerics -> mode (falls back to the
     numeric strategy); other numerics -> ``numerical_strategy`` (median,
     mean, most_frequent, constant); categoricals -> mode or 'UNKNOWN';
@@ -120,7 +120,7 @@ def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: s
     need_mean = (other + year) if numerical_strategy == "mean" else []
 
     num_modes = _modes(df, need_mode_num, "double")
-    medians = _medians(df, need_median)
+    medians = _medians(df, need_median, exact)
     means = df.agg(*[F.avg(_q(c)).alias(c) for c in need_mean]).first().asDict() if need_mean else {}
 
     def strategy_value(c):
@@ -159,10 +159,15 @@ def _modes(df: DataFrame, cols: list[str], cast: str) -> dict:
     return {r["column"]: r["mode"] for r in group_modes(long, ["column"], "value").collect()}
 
 
-def _medians(df: DataFrame, cols: list[str]) -> dict:
+def _medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict:
+    """Median per column: exact (skew-safe, linear interpolation) or, with
+    ``exact=False``, a bounded-memory sketch (``percentile_approx``)."""
     if not cols:
         return {}
     long = unpivot(df, [], cols, "column", "value", "double")
+    if not exact:
+        approx = long.groupBy("column").agg(F.percentile_approx("value", 0.5, 100000).alias("median"))
+        return {r["column"]: r["median"] for r in approx.collect()}
     return {r["column"]: r["median"] for r in
             exact_quantiles(long, ["column"], "value", [0.5], ["median"]).collect()}
 
