@@ -88,3 +88,14 @@ def test_dedup_partition_invariance(spark):
     for n in (1, 4, 32):
         got = sorted(tuple(r) for r in C.dedup_rows(base.repartition(n)).collect())
         assert got == expected
+
+
+def test_sketch_options_close_to_exact(spark):
+    df = spark.range(2001).select((F.col("id") * 3.0).alias("area"))
+    roles = {"numerical": ["area"]}
+    exact = C.fit_impute(df, roles).values["area"]
+    approx = C.fit_impute(df, roles, exact=False).values["area"]
+    assert exact == 3000.0 and abs(approx - exact) <= 6.0
+    b_exact = C.fit_outliers(df, ["area"]).bounds["area"]
+    b_approx = C.fit_outliers(df, ["area"], exact=False).bounds["area"]
+    assert all(abs(x - y) <= 30.0 for x, y in zip(b_exact, b_approx))
