@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import byte_bpe, sharding, token_counts, warc
+from parcelkit.llm import (byte_bpe, decontaminate, ego_join, line_dedup, probminhash, quality, sharding,
+                           token_counts, warc)
 from parcelkit.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,16 +54,43 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, folder)
 
 
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+@register("op4_minhash")
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16)
 
 
+@register("op6_embeddings")
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@register("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "removed_lines", "removed_chars")
+
+
 @register("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
