@@ -231,3 +231,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         out = out.union(source.mapInArrow(match, schema))
     return out.withColumnRenamed("id", id_col)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                         item_text_col: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item, with all their columns;
+    a filter inside the tasks, without a join."""
+    spark, out = docs.sparkSession, docs
+    for block in item_blocks(benchmark, item_id_col, item_text_col, block_chars):
+        shared = spark.sparkContext.broadcast(block)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
+            for part in text_slices(batches, text_col):
+                texts = part.column(text_col).to_pylist()
+                yield part.filter(pa.array([not matcher.search(normalize(t)) for t in texts], pa.bool_()))
+
+        out = out.mapInArrow(clean, docs.schema)
+    return out

@@ -248,10 +248,11 @@ def _cross_candidates(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.groupBy("band", "hash", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """(id, class_id, kept) of every row: ``class_id`` is the smallest id of
-    the near-duplicate group, ``kept`` is true for that one row's id."""
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(every row's id and text keys, every distinct text's group, paths of
+    both tables).  A group has ``class_id``, its smallest id, and one text that
+    is ``chosen``: the one with that id (of several, the first by key)."""
     spark = docs.sparkSession
     sketch, sketch_path = materialize(_sketch(docs, id_col, text_col), "near-sketch")
     classes, classes_path = materialize(
@@ -285,10 +286,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     grouped = (classes.select("k1", "k2", "id", "node").join(roots, classes["node"] == roots["u"], "left")
                .select("k1", "k2", "id", F.coalesce("v", "node").alias("root")))
-    least = grouped.groupBy("root").agg(F.min("id").alias("class_id"))
-    named, _ = materialize(grouped.join(least, "root").select("k1", "k2", "class_id"), "near-named")
-    result, _ = materialize(sketch.select("id", "k1", "k2").join(named, ["k1", "k2"])
-                            .select("id", "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")),
-                            "near-result")
-    drop_table(spark, sketch_path, classes_path, held_path, pairs_path, cross_path)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
+    first = grouped.groupBy("root").agg(F.min(order).alias("first"))
+    named, named_path = materialize(
+        grouped.join(first, "root").select("k1", "k2", F.col("first.id").alias("class_id"),
+                                           ((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")))
+                                           .alias("chosen")), "near-named")
+    drop_table(spark, classes_path, held_path, pairs_path, cross_path)
+    return sketch.select("id", "k1", "k2"), named, [sketch_path, named_path]
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """(id, class_id, kept) of every row: ``class_id`` is the smallest id of
+    the near-duplicate group, ``kept`` is true for the row with that id."""
+    rows, named, paths = near_classes(docs, id_col, text_col, threshold)
+    kept = F.col("chosen") & F.col("id").eqNullSafe(F.col("class_id"))
+    result, _ = materialize(rows.join(named, ["k1", "k2"]).select("id", "class_id", kept.alias("kept")), "near-result")
+    drop_table(docs.sparkSession, *paths)
     return result.withColumnRenamed("id", id_col)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             threshold: float = THRESHOLD) -> DataFrame:
+    """One row of ``docs`` per near-duplicate group, with all its columns.  The
+    join key holds the id, so the copies of a hot text are spread out and end there."""
+    _, named, _ = near_classes(docs, id_col, text_col, threshold)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64(text).alias("_k1"),
+                        F.xxhash64(F.lit(7), text).alias("_k2"))
+    chosen = named.where("chosen").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
+                                          F.col("class_id").alias("_class"))
+    same = ((keyed["_k1"] == chosen["_k1"]) & (keyed["_k2"] == chosen["_k2"])
+            & keyed[id_col].cast("long").eqNullSafe(chosen["_class"]))
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import (byte_bpe, decontaminate, ego_join, line_dedup, probminhash, quality, sharding,
+from parcelkit.llm import (byte_bpe, decontaminate, ego_join, html_extract, line_dedup, probminhash, quality, sharding,
                            token_counts, warc)
 from parcelkit.llm.common import ship_package
 
@@ -80,6 +80,11 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ego_join.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@register("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @register("op8_decontamination")
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
