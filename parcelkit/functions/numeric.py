@@ -53,11 +53,6 @@ def finite_or_zero(c) -> Column:
             .otherwise(c))
 
 
-def nan_to_null(c) -> Column:
-    c = _col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def log_grid(lo_exp: float, hi_exp: float, n: int) -> list[float]:
     """n points evenly spaced in log10 between 10**lo_exp and 10**hi_exp."""
     if n == 1:

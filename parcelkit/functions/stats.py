@@ -21,10 +21,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
+def nan_to_null(c: Column, kind) -> Column:
+    """A missing number is null or NaN; floating columns get NaN as null."""
+    floating = kind in ("double", "float") or isinstance(kind, (DoubleType, FloatType))
+    return F.when(~F.isnan(c), c) if floating else c
+
+
+def missing(df: DataFrame, name: str) -> Column:
+    """True where a column has no value: null, or NaN in a floating column."""
+    c = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        return c.isNull() | F.isnan(c)
+    return c.isNull()
+
+
+def nulls_for_nan(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """NaN of floating columns as null, the others untouched."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))
+             and (cols is None or f.name in cols)]
+    return df.withColumns({n: nan_to_null(F.col(f"`{n}`"), "double") for n in names}) if names else df
+
+
 def _n_parts(df: DataFrame, n: int | None) -> int:
     if n:
         return n
@@ -65,7 +87,10 @@ def global_index(df: DataFrame, order_cols: list, name: str = "_idx",
 
 
 def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
-    return (df.where(F.col(value_col).isNotNull())
+    c = F.col(value_col)
+    if isinstance(df.schema[value_col].dataType, (DoubleType, FloatType)):
+        df = df.withColumn(value_col, F.nanvl(c, F.lit(None)) + F.lit(0.0))   # NaN is missing, -0.0 is 0.0
+    return (df.where(c.isNotNull())
             .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
 
 
@@ -134,10 +159,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], name_col: str = "column",
             value_col: str = "value", cast: str | None = None) -> DataFrame:
     """Long form (ids..., name_col, value_col); values cast to one type."""
-    vals = [(F.col(c).cast(cast) if cast else F.col(c)).alias(c) for c in cols]
+    vals = [nan_to_null((F.col(c).cast(cast) if cast else F.col(c)), cast or df.schema[c].dataType).alias(c)
+            for c in cols]
     wide = df.select(*ids, *vals)
     return wide.unpivot(ids, cols, name_col, value_col)
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -16,7 +16,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from parcelkit.functions import text as T
 from parcelkit.functions.numeric import clip, round_half_even
-from parcelkit.functions.stats import exact_quantiles, group_modes, unpivot
+from parcelkit.functions.stats import exact_quantiles, group_modes, nan_to_null, nulls_for_nan, unpivot
 from parcelkit.operators.roles import matches
 
 # Column routing by name substring.
@@ -42,14 +42,17 @@ def _q(name: str):
 
 # --------------------------------------------------------------- numeric ---
 
-def clean_numeric(df: DataFrame, cols: list[str], exclude_patterns: list[str] | None = None) -> DataFrame:
+def clean_numeric(df: DataFrame, cols: list[str], exclude_patterns: list[str] | None = None,
+                  keep: list[str] | None = None) -> DataFrame:
     """Coerce ``cols`` to numbers and apply the name-routed rules:
 
     strip '$' and ',', parse (failure -> null); 'cond' columns clipped to
     [1, 5] and rounded half-even; integer-like names rounded; area-like
     values <= 0 -> null; price-like values < 0 -> null.  Columns whose name
-    marks an identifier / ZIP stay trimmed strings.
+    marks an identifier / ZIP stay trimmed strings; those in ``keep`` (row
+    key, columns only passed through) are not touched.
     """
+    untouched = set(keep or [])
     exclude = EXCLUDE_PATTERNS if exclude_patterns is None else exclude_patterns
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {}
@@ -58,6 +61,7 @@ def clean_numeric(df: DataFrame, cols: list[str], exclude_patterns: list[str] |
             continue
         v = _q(c).cast("double") if isinstance(types[c], NumericType) else \
             T.strip_money(_q(c)).try_cast("double")
+        v = nan_to_null(v, "double")
         if CONDITION_PATTERN in c.lower():
             v = round_half_even(clip(v, 1.0, 5.0))
         elif matches(c, INTEGER_PATTERNS):
@@ -68,7 +72,7 @@ def clean_numeric(df: DataFrame, cols: list[str], exclude_patterns: list[str] |
             v = F.when(~(v < 0), v)
         out[c] = v
     for c in df.columns:
-        if c not in out and matches(c, STRING_KEEP_PATTERNS):
+        if c not in out and c not in untouched and matches(c, STRING_KEEP_PATTERNS):
             out[c] = T.to_trimmed_string(_q(c))
     return df.withColumns(out)
 
@@ -97,8 +101,8 @@ class ImputeModel:
 
     def apply(self, df: DataFrame) -> DataFrame:
         types = {f.name: f.dataType for f in df.schema.fields}
-        return df.withColumns({c: F.coalesce(_q(c), F.lit(v).cast(types[c])) for c, v in self.values.items()
-                               if v is not None and c in df.columns})
+        return df.withColumns({c: F.coalesce(nan_to_null(_q(c), types[c]), F.lit(v).cast(types[c]))
+                               for c, v in self.values.items() if v is not None and c in df.columns})
 
 
 def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: str = "median",
@@ -121,7 +125,8 @@ def fit_impute(df: DataFrame, roles: dict[str, list[str]], numerical_strategy: s
 
     num_modes = _modes(df, need_mode_num, "double")
     medians = _medians(df, need_median, exact)
-    means = df.agg(*[F.avg(_q(c)).alias(c) for c in need_mean]).first().asDict() if need_mean else {}
+    known = nulls_for_nan(df, need_mean)
+    means = known.agg(*[F.avg(_q(c)).alias(c) for c in need_mean]).first().asDict() if need_mean else {}
 
     def strategy_value(c):
         s = numerical_strategy
@@ -186,16 +191,20 @@ class ClipModel:
         return df.withColumns({c: clip(_q(c), lo, hi) for c, (lo, hi) in self.bounds.items()})
 
 
-def outlier_columns(cols: list[str]) -> list[str]:
-    return [c for c in cols if not matches(c, OUTLIER_SKIP_PATTERNS)]
+def outlier_columns(cols: list[str], skip_integers: bool = False) -> list[str]:
+    """Columns that are clipped.  ``skip_integers`` leaves out those whose name
+    marks an integer: after ``clean_numeric`` they are integers, which the
+    chain's outlier step does not touch (a year 0 stays, to be found invalid)."""
+    skip = OUTLIER_SKIP_PATTERNS + (INTEGER_PATTERNS if skip_integers else [])
+    return [c for c in cols if not matches(c, skip)]
 
 
 def fit_outliers(df: DataFrame, cols: list[str], method: str = "iqr", threshold: float = 1.5,
-                 exact: bool = True) -> ClipModel:
+                 exact: bool = True, skip_integers: bool = False) -> ClipModel:
     """Bounds per column: IQR (exact linear quartiles) or z-score (mean and
     sample std).  Price-like: upper bound only; area-like: [lo, 1.5 * hi];
     others: [lo, hi]."""
-    cols = outlier_columns(cols)
+    cols = outlier_columns(cols, skip_integers)
     if not cols:
         return ClipModel({})
     raw = {}
@@ -211,7 +220,7 @@ def fit_outliers(df: DataFrame, cols: list[str], method: str = "iqr", threshold:
             iqr = r["q3"] - r["q1"]
             raw[r["column"]] = (r["q1"] - threshold * iqr, r["q3"] + threshold * iqr)
     else:
-        stats = df.agg(*[F.avg(_q(c)).alias(f"m|{c}") for c in cols],
+        stats = nulls_for_nan(df, cols).agg(*[F.avg(_q(c)).alias(f"m|{c}") for c in cols],
                        *[F.stddev_samp(_q(c)).alias(f"s|{c}") for c in cols]).first().asDict()
         for c in cols:
             m, s = stats[f"m|{c}"], stats[f"s|{c}"]

@@ -1,53 +1,36 @@
-"""Join operators: size-checked broadcast, target alignment, membership
+"""Join operators: target alignment, membership
 flags, outer alignment, geo lookup, champion/challenger, model comparison.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: map fallback position (latitude, longitude).
 DEFAULT_POSITION = (42.3601, -71.0589)
 
 
-def size_checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit, not a full
-    count).  Under the bound those rows are re-used as a local relation for
-    the broadcast (what a broadcast ships through the driver anyway), so the
-    small side's lineage is computed once, not once for the check and again
-    for the join.  Above the bound the plain DataFrame is returned and Spark
-    plans a shuffle join (AQE may still broadcast it from runtime sizes).
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return df
-
-
 def align_target(features: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """Positional alignment re-expressed as an equi-join on the carried key."""
     return features.join(target, key, "inner")
 
 
-def flag_members(df: DataFrame, members: DataFrame, key: str, out: str,
-                 max_broadcast_rows: int = 200_000) -> DataFrame:
-    """``out`` = 1 when ``df[key]`` is in ``members[key]``, else 0."""
+def flag_members(df: DataFrame, members: DataFrame, key: str, out: str) -> DataFrame:
+    """``out`` = 1 when ``df[key]`` is in ``members[key]``, else 0.  The join
+    strategy is left to Spark, which broadcasts the members by their size in
+    bytes at run time and otherwise splits skewed keys of a sort-merge join."""
     m = members.select(F.col(key).alias("_mk")).distinct().withColumn("_hit", F.lit(1))
-    side = size_checked_broadcast(m, max_broadcast_rows)
-    j = df.join(side, F.col(key) == F.col("_mk"), "left")
+    j = df.join(m, F.col(key) == F.col("_mk"), "left")
     return j.withColumn(out, F.coalesce(F.col("_hit"), F.lit(0)).cast("bigint")).drop("_mk", "_hit")
 
 
 def geo_lookup(df: DataFrame, zip_dim: DataFrame, zip_col: str = "ZIP_CODE",
-               default: tuple[float, float] = DEFAULT_POSITION, max_broadcast_rows: int = 200_000) -> DataFrame:
+               default: tuple[float, float] = DEFAULT_POSITION) -> DataFrame:
     """Attach (latitude, longitude) from a ZIP dimension; absent -> default."""
     dim = zip_dim.select(F.col(zip_col).alias("_z"), F.col("latitude").alias("_lat"),
                          F.col("longitude").alias("_lon"))
-    side = size_checked_broadcast(dim, max_broadcast_rows)
-    j = df.join(side, F.col(zip_col) == F.col("_z"), "left")
+    j = df.join(dim, F.col(zip_col) == F.col("_z"), "left")
     return (j.withColumn("latitude", F.coalesce(F.col("_lat"), F.lit(default[0])))
              .withColumn("longitude", F.coalesce(F.col("_lon"), F.lit(default[1])))
              .drop("_z", "_lat", "_lon"))
@@ -97,7 +80,3 @@ def outer_align(df: DataFrame, cols: list[str], value_type: str = "double") -> D
 def membership(df: DataFrame, members: DataFrame, key: str, inside: bool = True) -> DataFrame:
     """Rows whose key is (semi) / is not (anti) in ``members``."""
     return df.join(members.select(key).distinct(), key, "left_semi" if inside else "left_anti")
-
-
-def col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -24,10 +24,15 @@ def key_hash(cols: list[str], seed: int = 42) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
 
 
-def hash_split(df: DataFrame, hash_col: Column, test_fraction: float = 0.2, buckets: int = 100,
+def hash_split(df: DataFrame, hash_col: Column, test_fraction: float = 0.2, buckets: int | None = None,
                out: str = "split") -> DataFrame:
     """``out`` = 'test' for a ``test_fraction`` share of hash buckets, else
-    'train'.  Disjoint and complete by construction."""
+    'train'.  Disjoint and complete by construction.  There are 100 buckets,
+    or as many powers of ten as the fraction has decimals to be met exactly."""
+    if buckets is None:
+        buckets = 100
+        while buckets < 10 ** 15 and abs(test_fraction * buckets - round(test_fraction * buckets)) > 1e-9 * buckets ** 0.5:
+            buckets *= 10
     cut = int(round(test_fraction * buckets))
     return df.withColumn(out, F.when(F.pmod(hash_col, F.lit(buckets)) < cut, F.lit("test"))
                          .otherwise(F.lit("train")))
@@ -51,13 +56,10 @@ def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tiebreak: lis
 
 
 def argmax_row(df: DataFrame, by: str, key: list[str]) -> DataFrame:
-    """The row with the largest ``by``; ties -> smallest (numeric) key.  One
-    partial aggregate (max of a struct led by ``by`` and the negated key)."""
-    rest = [c for c in df.columns if c != by and c not in key]
-    packed = F.struct(F.col(by).alias("_by"), *[(-F.col(c)).alias(c) for c in key], *[F.col(c) for c in rest])
-    best = df.agg(F.max(packed).alias("_b"))
-    return best.select(*[(-F.col(f"_b.{c}")).alias(c) for c in key], *[F.col(f"_b.{c}").alias(c) for c in rest],
-                       F.col("_b._by").alias(by))
+    """The row with the largest ``by``; ties -> smallest key (of any type).
+    A sort with limit 1, which Spark runs as a top-1 per task and one merge."""
+    best = df.where(F.col(by).isNotNull()).orderBy(F.col(by).desc(), *[F.col(c).asc() for c in key]).limit(1)
+    return best.select(*key, *[c for c in df.columns if c != by and c not in key], by)
 
 
 def sample_n(df: DataFrame, hash_col: Column, n: int = 100) -> DataFrame:

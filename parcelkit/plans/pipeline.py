@@ -44,7 +44,7 @@ def clean_data(df: DataFrame, key: list[str], target: str = "TOTAL_VALUE", passt
     ``fit_on='all'`` fits statistics on all rows (the reference order);
     ``'train'`` fits them on the train split only (no leakage)."""
     passthrough = passthrough or []
-    issues = Q.quality_suite(df.drop(*key, *passthrough))
+    issues = cut_lineage(Q.quality_suite(df.drop(*key, *passthrough), rules))   # runs the check; a few rows
     value_cols = [c for c in df.columns if c not in key and c not in passthrough]
     d = C.dedup_rows(df)
     if split_hash is None:
@@ -58,11 +58,11 @@ def clean_data(df: DataFrame, key: list[str], target: str = "TOTAL_VALUE", passt
     fit_rows = d.where(F.col("split") == "train") if fit_on == "train" else d
     d = C.fit_impute(fit_rows, roles).apply(d)
     numeric_cols = [c for c in roles["numerical"] if c != target] + ([target] if target in roles["numerical"] else [])
-    d = C.clean_numeric(d, numeric_cols)
+    d = C.clean_numeric(d, numeric_cols, keep=key + passthrough)
     d = C.clean_address(d, roles["address"])
     d = C.standardize_categorical(d, roles["categorical"])
     fit_rows = d.where(F.col("split") == "train") if fit_on == "train" else d
-    d = C.fit_outliers(fit_rows, roles["numerical"]).apply(d)
+    d = C.fit_outliers(fit_rows, roles["numerical"], skip_integers=True).apply(d)
     if target not in d.columns:
         raise ValueError(f"Target column {target} not found in dataframe")
     return CleanResult(d, issues, roles)
@@ -86,7 +86,7 @@ def engineer_features(clean: CleanResult, as_of_year: int = FE.DEFAULT_AS_OF_YEA
     out = E.apply_encoders(d, enc)
     out = FE.ratio_features(out)
     out = FE.property_features(out, as_of_year)
-    issues = Q.quality_suite(out.where(F.col("split") == "train"))
+    issues = cut_lineage(Q.quality_suite(out.where(F.col("split") == "train")))
     return EngineerResult(out, enc, issues)
 
 

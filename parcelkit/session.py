@@ -3,13 +3,14 @@
 ``get_session`` is for tests, the bench and local runs only; on a cluster the
 caller owns the session.  ``checkpoint_root`` reads ``spark.checkpoint.dir``
 from the session and only invents a local folder when nothing is configured
-(the local/test case), so that lineage cuts and streaming checkpoints land in
-the shared folder the cluster names.
+and the master is local (tests, the bench); on a cluster it raises, since a
+machine-local folder would scatter the files.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,9 +53,13 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder; a local one is set only if none is
+    configured and all tasks run in this process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set, and executors of {master!r} need a shared folder")
         root = tempfile.mkdtemp(prefix="parcelkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
@@ -71,12 +76,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_path(spark: SparkSession, *paths: str) -> None:
+    """Delete folders through Spark's file system layer (any Hadoop file system)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+#: Scratch folders of this session's lineage cuts, in the order they were written.
+_scratch: list[str] = []
+
+
 def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint folder).
-
-    Used between iterations of driver loops (search, mitigation rounds) so
-    that a lost executor recomputes from the checkpoint, not the whole
-    lineage.  ``localCheckpoint`` is never used: it dies with the executor.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the shared folder and read back.
+
+    A lost executor recomputes from the file, and what reads it gets column
+    pruning and filter pushdown, which a row-format checkpoint has not.
+    ``release_scratch`` removes the files when nothing reads them any more."""
+    path = scratch_path(df.sparkSession, "lineage")
+    df.write.parquet(path)
+    _scratch.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_mark() -> int:
+    """A mark for ``release_scratch``: what is cut after it can be released."""
+    return len(_scratch)
+
+
+def release_scratch(spark: SparkSession, mark: int = 0) -> None:
+    """Remove the lineage cuts written since ``mark``; call it when every frame
+    that reads them has been written or collected."""
+    paths, _scratch[mark:] = _scratch[mark:], []
+    remove_path(spark, *paths)
