@@ -5,10 +5,9 @@ map per group and merge all of a group's maps in one task, so one hot group
 (a third of the rows, continuous values) would be held in one task.  The
 helpers below avoid that:
 
-* ``exact_quantiles`` -- counts per (group, value) (map-side combined), then a
-  range exchange on (group, value) so even a hot group is split over many
-  tasks; cumulative counts come from per-partition sums plus offsets of a
-  table with at most partitions+groups rows.  Same result as DuckDB
+* ``exact_quantiles`` -- a mergeable sketch brackets each wanted rank, then one
+  aggregate counts what lies between the brackets and the values inside them:
+  no value is shuffled unless it is within a bracket.  Same result as DuckDB
   ``quantile_cont`` / pandas linear interpolation.
 * ``group_modes`` -- counts per (group, value), then a ``min`` of a struct
   (partial aggregation): the smallest most-frequent value.
@@ -23,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from parcelkit.session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -60,7 +61,6 @@ def _pin(df: DataFrame, checkpoint: bool) -> DataFrame:
     stage after an executor loss."""
     if not checkpoint:
         return df
-    from parcelkit.session import cut_lineage
     return cut_lineage(df)
 
 
@@ -103,59 +103,68 @@ def group_modes(df: DataFrame, group_cols: list[str], value_col: str,
     return best.select(*group_cols, F.col("_m.v").alias(out))
 
 
+#: Rank precision of the brackets: a bracket holds about 4 / ACCURACY of a group's rows.
+ACCURACY = 2000
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], names: list[str] | None = None,
-                    num_partitions: int | None = None, count_col: str | None = None,
-                    checkpoint: bool = True) -> DataFrame:
+                    count_col: str | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per group.
 
-    Nulls are ignored; a group with no values yields no row.  With
-    ``count_col`` the number of non-null values per group is returned too
-    (it is a by-product of the cumulative counts).
+    Two passes of partial aggregation, no shuffle of values: a mergeable sketch
+    gives a bracket around each wanted rank, then one aggregate counts the rows
+    between the brackets (one row per gap) and the values inside them (a small
+    share), so ranks inside a bracket are exact.  Should a sketch have missed a
+    rank, the groups in question are counted value by value.
+
+    Nulls and NaN are ignored; a group with no values yields no row.  With
+    ``count_col`` the number of values per group is returned too.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     g = list(group_cols) or ["_g"]
     base = df if group_cols else df.withColumn("_g", F.lit(0))
-    vc = value_counts(base, g, value_col)
-    n = _n_parts(df, num_partitions)
-    ranged = _pin(vc.repartitionByRange(n, *g, value_col).withColumn("_pid", F.spark_partition_id()), checkpoint)
-    w_local = (Window.partitionBy("_pid", *g).orderBy(value_col)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_lc", F.sum("_c").over(w_local))
-    seg = local.groupBy("_pid", *g).agg(F.sum("_c").alias("_t"))
-    w_seg = Window.partitionBy(*g).orderBy("_pid")
-    seg = seg.select(
-        "_pid", *g,
-        F.coalesce(F.sum("_t").over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_t").over(w_seg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"))
-    cum = (local.join(seg, ["_pid", *g])
-           .withColumn("_hi", F.col("_off") + F.col("_lc"))
-           .withColumn("_lo", F.col("_hi") - F.col("_c")))
-    hits = []
-    aggs = []
-    for p, name in zip(probs, names):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        i0, i1 = F.floor(h), F.ceil(h)
-        in0 = (F.col("_lo") <= i0) & (i0 < F.col("_hi"))
-        in1 = (F.col("_lo") <= i1) & (i1 < F.col("_hi"))
-        hits += [in0, in1]
-        cum = (cum.withColumn(f"_v0_{name}", F.when(in0, F.col(value_col).cast("double")))
-                  .withColumn(f"_v1_{name}", F.when(in1, F.col(value_col).cast("double")))
-                  .withColumn(f"_f_{name}", h - i0))
-        aggs += [F.max(f"_v0_{name}").alias(f"_v0_{name}"), F.max(f"_v1_{name}").alias(f"_v1_{name}"),
-                 F.max(f"_f_{name}").alias(f"_f_{name}")]
-    if count_col:
-        aggs.append(F.max("_n").alias(count_col))
-    anyhit = hits[0]
-    for hcol in hits[1:]:
-        anyhit = anyhit | hcol
-    picked = cum.where(anyhit).groupBy(*g).agg(*aggs)
-    outs = [(F.col(f"_v0_{nm}") + (F.col(f"_v1_{nm}") - F.col(f"_v0_{nm}")) * F.col(f"_f_{nm}")).alias(nm)
-            for nm in names]
-    res = picked.select(*g, *outs, *([count_col] if count_col else []))
+    value = F.col(value_col).cast("double")
+    base = base.select(*g, F.when(~F.isnan(value), value + F.lit(0.0)).alias("_x")).where(F.col("_x").isNotNull())
+    around = [min(1.0, max(0.0, p + side * 2.0 / accuracy)) for p in probs for side in (-1, 1)]
+    sketch = F.percentile_approx("_x", F.array(*map(F.lit, around)), F.lit(accuracy))
+    # Written, so that its size is known and the join below broadcasts it only where it is small.
+    brackets = cut_lineage(base.groupBy(*g).agg(sketch.alias("_b")))
+    found = _ranked(base.join(brackets, g), g, probs, names)
+    exact = cut_lineage(found)
+    missed = exact.where(F.col("_missed"))
+    if not missed.isEmpty():
+        whole = base.join(missed.select(*g), g).withColumn(
+            "_b", F.array(*[F.lit(float(s + "inf")) for _ in probs for s in ("-", "")]))
+        exact = exact.where(~F.col("_missed")).unionByName(_ranked(whole, g, probs, names))
+    res = exact.select(*g, *names, *([F.col("_n").alias(count_col)] if count_col else []))
     return res if group_cols else res.drop("_g")
 
 
+def _ranked(rows: DataFrame, g: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    """(groups, quantiles, _n, _missed) from rows ``_x`` with their group's brackets ``_b``."""
+    x, inside, passed = F.col("_x"), F.lit(False), F.lit(0)
+    for i in range(len(probs)):
+        low, high = F.col("_b")[2 * i], F.col("_b")[2 * i + 1]
+        inside = inside | ((x >= low) & (x <= high))
+        passed = passed + (x > high).cast("int")
+    counted = (rows.select(*g, F.when(inside, x).alias("_v"), F.when(~inside, passed).alias("_gap"), "_x")
+               .groupBy(*g, "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_first")))
+    upto = Window.partitionBy(*g).orderBy("_first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counted.withColumn("_hi", F.sum("_c").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_c"))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
+    aggs, outs, missed = [F.max("_n").alias("_n")], [], F.lit(False)
+    for k, p in enumerate(probs):
+        at = (F.col("_n") - 1) * F.lit(float(p))
+        for side, rank in (("a", F.floor(at)), ("b", F.ceil(at))):
+            aggs.append(F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col("_v"))).alias(f"_{side}{k}"))
+        aggs.append(F.max(at - F.floor(at)).alias(f"_f{k}"))
+        low, high = F.col(f"_a{k}"), F.col(f"_b{k}")
+        outs.append((low + (high - low) * F.col(f"_f{k}")).alias(names[k]))
+        missed = missed | low.isNull() | high.isNull()
+    return ranked.groupBy(*g).agg(*aggs).select(*g, *outs, "_n", missed.alias("_missed"))
+
+
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], name_col: str = "column",
             value_col: str = "value", cast: str | None = None) -> DataFrame:
     """Long form (ids..., name_col, value_col); values cast to one type."""

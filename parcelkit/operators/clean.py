@@ -174,7 +174,7 @@ def _medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict:
         approx = long.groupBy("column").agg(F.percentile_approx("value", 0.5, 100000).alias("median"))
         return {r["column"]: r["median"] for r in approx.collect()}
     return {r["column"]: r["median"] for r in
-            exact_quantiles(long, ["column"], "value", [0.5], ["median"]).collect()}
+            exact_quantiles(long, ["column"], "value", [0.5], ["median"], accuracy=50_000).collect()}
 
 
 def impute(df: DataFrame, roles: dict[str, list[str]], **kw) -> DataFrame:
@@ -211,7 +211,7 @@ def fit_outliers(df: DataFrame, cols: list[str], method: str = "iqr", threshold:
     if method == "iqr":
         long = unpivot(df, [], cols, "column", "value", "double")
         if exact:
-            qs = exact_quantiles(long, ["column"], "value", [0.25, 0.75], ["q1", "q3"]).collect()
+            qs = exact_quantiles(long, ["column"], "value", [0.25, 0.75], ["q1", "q3"], accuracy=50_000).collect()
         else:
             qs = (long.groupBy("column")
                   .agg(F.percentile_approx("value", [0.25, 0.75], 100000).alias("q"))

@@ -66,7 +66,7 @@ def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     max_error, median_error (exact), mean_prediction, std_prediction."""
     yy, p = F.col(y), F.col(pred)
     e = yy - p
-    med = exact_quantiles(df.select(F.abs(e).alias("_ae")), [], "_ae", [0.5], ["median_error"])
+    med = exact_quantiles(df.select(F.abs(e).alias("_ae")), [], "_ae", [0.5], ["median_error"], accuracy=50_000)
     return df.agg(
         r2_score(yy, p).alias("r2"),
         F.sqrt(F.avg(e * e)).alias("rmse"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parcelkit.functions import text as T
 from parcelkit.operators import features as FE
 from parcelkit.operators import metrics as M
 from parcelkit.operators import ml as ML
@@ -13,7 +14,10 @@ from parcelkit.operators.attribution import permutation_importance
 from parcelkit.plans import bindings as b
 from parcelkit.plans import pipeline as PL
 from parcelkit.plans.oracle import with_ctes
-from parcelkit.plans.q_encode import split_hash_col
+from parcelkit.plans.q_clean import _address_sql, _groups_sql
+from parcelkit.plans.q_encode import SPLIT_SQL, split_hash_col
+from parcelkit.plans.q_features import _AREA_OK, _RENO_OK, _VALID_YB, _age_cat_sql, _cond_sql, _r
+from parcelkit.plans.q_metrics import _metrics_sql
 from parcelkit.plans.registry import register, rounded
 from parcelkit.session import cut_lineage, scratch_path
 from parcelkit.sources.tables import read_table, table_path
@@ -40,7 +44,84 @@ def _clean(spark, sf):
                          split_hash=split_hash_col())
 
 
-@register("flagship")
+# The chain in SQL: each step a CTE, the fitted statistics scalar subqueries.
+KEY_SQL = ", ".join(KEY)
+_REST = "ZIP_CODE, ADDRESS, STYLE, OWN_OCC, prediction, HLF_BTH"
+
+
+def _mode_sql(c):
+    return f"(SELECT {c} FROM prop WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+
+
+def _clip_sql(c, low, factor):
+    """IQR clip of one column: an upper bound (times ``factor``), and a lower one unless price-like."""
+    q1, q3 = (f"(SELECT quantile_cont({c}, {q}) FROM nums)" for q in (0.25, 0.75))
+    lo, hi = f"({q1} - 1.5 * ({q3} - {q1}))", f"(({q3} + 1.5 * ({q3} - {q1})) * {factor})"
+    floor = f"WHEN {c} < {lo} THEN {lo} " if low else ""
+    return f"round(CASE {floor}WHEN {c} > {hi} THEN {hi} ELSE {c} END, 4) AS {c}"
+
+
+_PROP_SQL = f"""prop AS (
+  SELECT DISTINCT {KEY_SQL}, TOTAL_VALUE_RAW AS TOTAL_VALUE, GROSS_AREA_RAW AS GROSS_AREA,
+    LIVING_AREA_N AS LIVING_AREA, LAND_VALUE, BLDG_VALUE, YR_BUILT_RAW AS YR_BUILT, YR_REMODEL, FULL_BTH, HLF_BTH,
+    TT_RMS, ZIP_CODE, ADDRESS, BLDG_TYPE_N AS BLDG_TYPE, STYLE_TEXT AS STYLE, OVERALL_COND_RAW AS OVERALL_COND,
+    OWN_OCC, prediction FROM dirty)"""
+_NUMS_SQL = f"""nums AS (
+  SELECT {KEY_SQL}, {_REST},
+    CASE WHEN TOTAL_VALUE >= 0 THEN TOTAL_VALUE END AS TOTAL_VALUE,
+    CASE WHEN GROSS_AREA > 0 THEN GROSS_AREA END AS GROSS_AREA,
+    CASE WHEN LIVING > 0 THEN LIVING END AS LIVING_AREA,
+    CASE WHEN LAND_VALUE >= 0 THEN LAND_VALUE END AS LAND_VALUE,
+    CASE WHEN BLDG_VALUE >= 0 THEN BLDG_VALUE END AS BLDG_VALUE,
+    coalesce(YR_BUILT, {_mode_sql('YR_BUILT')}) AS YR_BUILT,
+    coalesce(YR_REMODEL, {_mode_sql('YR_REMODEL')}) AS YR_REMODEL,
+    CAST(FULL_BTH AS DOUBLE) AS FULL_BTH, CAST(TT_RMS AS DOUBLE) AS TT_RMS,
+    coalesce(BLDG_TYPE, {_mode_sql('BLDG_TYPE')}) AS BLDG_TYPE,
+    coalesce(OVERALL_COND, {_mode_sql('OVERALL_COND')}) AS OVERALL_COND
+  FROM (SELECT *, coalesce(LIVING_AREA, (SELECT quantile_cont(LIVING_AREA, 0.5) FROM prop)) AS LIVING FROM prop))"""
+_CLEANED_SQL = f"""cleaned AS (
+  SELECT {KEY_SQL}, {_clip_sql('TOTAL_VALUE', False, 1)}, {_clip_sql('GROSS_AREA', True, 1.5)},
+    {_clip_sql('LIVING_AREA', True, 1.5)}, {_clip_sql('LAND_VALUE', False, 1)}, {_clip_sql('BLDG_VALUE', False, 1)},
+    YR_BUILT, YR_REMODEL, {_clip_sql('FULL_BTH', True, 1)}, HLF_BTH, {_clip_sql('TT_RMS', True, 1)},
+    trim(ZIP_CODE) AS ZIP_CODE, {_address_sql()} AS ADDRESS, upper(trim(BLDG_TYPE)) AS BLDG_TYPE,
+    {_groups_sql('upper(trim(STYLE))', T.STYLE_TEXT_GROUPS)} AS STYLE, upper(trim(OVERALL_COND)) AS OVERALL_COND,
+    OWN_OCC, prediction, {SPLIT_SQL} AS split
+  FROM nums)"""
+_CHAIN = [_PROP_SQL, _NUMS_SQL, _CLEANED_SQL]
+
+
+def _flags_sql(c, categories):
+    flags = ", ".join(f"CAST({c} = '{v}' AS DOUBLE) AS \"{c}_{v}\"" for v in categories)
+    known = ", ".join(f"'{v}'" for v in categories)
+    return f"{flags}, CAST({c} NOT IN ({known}) AS DOUBLE) AS \"{c}_UNKNOWN\""
+
+
+# The categories of the table's building types and style groups, all in the train split.
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_STYLES = ["CAPE COD", "COLONIAL", "CONTEMPORARY", "RANCH", "SPLIT LEVEL", "VICTORIAN"]
+_BATHS = "coalesce(FULL_BTH, 0.0) + 0.5 * coalesce(CAST(HLF_BTH AS DOUBLE), 0.0)"
+_ENGINEERED_SQL = f"""
+SELECT {KEY_SQL}, TOTAL_VALUE, GROSS_AREA, LIVING_AREA, LAND_VALUE, BLDG_VALUE, YR_BUILT, YR_REMODEL, FULL_BTH, HLF_BTH, TT_RMS,
+  ZIP_CODE, ADDRESS, {_flags_sql('BLDG_TYPE', _TYPES)}, {_flags_sql('STYLE', _STYLES)},
+  {_cond_sql('OVERALL_COND')} AS OVERALL_COND, OWN_OCC, prediction, split,
+  {_r('CASE WHEN TOTAL_VALUE > 0 AND GROSS_AREA > 0 THEN TOTAL_VALUE / GROSS_AREA END')} AS price_per_sqft,
+  {_r('CASE WHEN TOTAL_VALUE > 0 THEN LAND_VALUE / TOTAL_VALUE END')} AS land_value_ratio,
+  {_r('CASE WHEN TOTAL_VALUE > 0 THEN BLDG_VALUE / TOTAL_VALUE END')} AS building_value_ratio,
+  CASE WHEN {_VALID_YB} THEN greatest({AS_OF} - yb, 0.0) END AS property_age,
+  {_age_cat_sql(f'CASE WHEN {_VALID_YB} THEN greatest({AS_OF} - yb, 0.0) END')} AS age_category,
+  {_BATHS} AS total_bathrooms, CAST(round_even({_BATHS}, 0) AS BIGINT) AS total_bathrooms_int,
+  {_r(f'CASE WHEN {_AREA_OK} THEN g - lv END')} AS non_living_area,
+  {_r(f'CASE WHEN {_AREA_OK} THEN lv / g END')} AS living_area_ratio,
+  coalesce({_RENO_OK} AND rm > yb, false) AS has_renovation,
+  CASE WHEN {_RENO_OK} THEN greatest({AS_OF} - rm, 0.0) END AS years_since_renovation
+FROM (SELECT *, CAST(YR_BUILT AS DOUBLE) AS yb, CAST(YR_REMODEL AS DOUBLE) AS rm, GROSS_AREA AS g, LIVING_AREA AS lv
+      FROM cleaned)"""
+
+
+@register("flagship", with_ctes(f"""
+SELECT CASE WHEN grouping(OWN_OCC) = 1 THEN 'overall' ELSE 'group' END AS level, OWN_OCC AS "group",
+  count(*) AS n, {_metrics_sql(min_size=5)}
+FROM cleaned GROUP BY ROLLUP (OWN_OCC)""", "dirty", extra=_CHAIN))
 def q_flagship(spark, sf):
     """Clean chain (K10) -> property features (K8) -> grouped metrics."""
     c = _clean(spark, sf)
@@ -48,39 +129,66 @@ def q_flagship(spark, sf):
     return rounded(M.group_metrics(feats, Y, "prediction", "OWN_OCC", min_size=5))
 
 
-@register("clean_pipeline")
+@register("clean_pipeline", with_ctes("SELECT * FROM cleaned", "dirty", extra=_CHAIN))
 def q_clean_pipeline(spark, sf):
     return rounded(_clean(spark, sf).data)
 
 
-@register("engineer_pipeline")
+@register("engineer_pipeline", with_ctes(_ENGINEERED_SQL, "dirty", extra=_CHAIN))
 def q_engineer_pipeline(spark, sf):
     return rounded(PL.engineer_features(_clean(spark, sf)).data)
 
 
+@register("chain_issues", with_ctes("""
+SELECT 'missing' AS "check", c AS "column", round(v, 4) AS value, concat('High missing values in ', c, ': ', printf('%.2f', v * 100), '%') AS message
+FROM (SELECT unnest(['LIVING_AREA', 'YR_REMODEL', 'OVERALL_COND', 'BLDG_TYPE']) AS c,
+        unnest([avg(CAST(LIVING_AREA IS NULL AS INT)), avg(CAST(YR_REMODEL IS NULL AS INT)),
+                avg(CAST(OVERALL_COND IS NULL AS INT)), avg(CAST(BLDG_TYPE IS NULL AS INT))]) AS v FROM raw)
+WHERE v > 0.1
+UNION ALL
+SELECT 'bounds', c, CAST(n AS DOUBLE), concat('Found ', n, ' outliers in ', c)
+FROM (SELECT unnest(['TOTAL_VALUE', 'GROSS_AREA', 'LAND_VALUE', 'BLDG_VALUE']) AS c,
+        unnest([count_if(TOTAL_VALUE < 50000 OR TOTAL_VALUE > 5000000), count_if(GROSS_AREA < 100 OR GROSS_AREA > 20000),
+                count_if(LAND_VALUE < 10000 OR LAND_VALUE > 2000000),
+                count_if(BLDG_VALUE < 10000 OR BLDG_VALUE > 3000000)]) AS n FROM raw)
+WHERE n > 0""", "dirty", extra=["""raw AS (
+  SELECT TOTAL_VALUE_RAW AS TOTAL_VALUE, GROSS_AREA_RAW AS GROSS_AREA, LIVING_AREA_N AS LIVING_AREA, LAND_VALUE, BLDG_VALUE,
+    YR_REMODEL, OVERALL_COND_RAW AS OVERALL_COND, BLDG_TYPE_N AS BLDG_TYPE FROM dirty)"""]))
+def q_chain_issues(spark, sf):
+    """Issues that the quality step of the clean chain finds in the raw records."""
+    return rounded(_clean(spark, sf).issues)
+
+
 @register("feature_report")
 def q_feature_report(spark, sf):
+    """All tables of the report job as one (table, row) listing, a row as JSON."""
     e = PL.engineer_features(_clean(spark, sf)).data
-    return rounded(PL.feature_reports(e.drop(*KEY))["profile"])
+    tables = PL.feature_reports(e.drop(*KEY))
+    out = None
+    for name, df in tables.items():
+        df = rounded(df)
+        part = df.select(F.lit(name).alias("table"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@register("final_dataset")
+@register("final_dataset", with_ctes(_ENGINEERED_SQL, "dirty", extra=_CHAIN))
 def q_final_dataset(spark, sf):
-    """Engineered X joined back to y (K17), written partitioned by split
-    (A4) and read back with a partition filter (only the test files)."""
+    """Engineered X joined back to y (K17), written partitioned by split (A4)
+    and read back, both splits."""
     from parcelkit.sources.files import write_dataset
     e = PL.engineer_features(_clean(spark, sf)).data
     x = e.drop(Y)
     y = e.select(*KEY, Y)
     path = scratch_path(spark, "final-dataset")
     write_dataset(rounded(PL.final_dataset(x, y, KEY)), path, "split")
-    return spark.read.parquet(path).where(F.col("split") == "test")
+    return spark.read.parquet(path)
 
 
 # ------------------------------------------------------------------- ML --
 def _ml_frame(spark, sf):
     a = b.with_indicators(b.assess(spark, sf))
-    mf = FE.model_features(a, AS_OF, keep=KEY + [Y, "BLDG_VALUE", "OWN_OCC"])
+    mf = FE.model_features(a, AS_OF, keep=KEY + [Y, "OWN_OCC"])
     return cut_lineage(R.hash_split(mf, split_hash_col()))
 
 
@@ -250,5 +358,5 @@ def q_stream_score(spark, sf):
     joined = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
                 .join(c, o.o_custkey == c.c_custkey))
     rows = b.with_indicators(b.assess_from_joined(joined))
-    feats_stream = FE.model_features(rows, AS_OF, keep=KEY + ["BLDG_VALUE"])
+    feats_stream = FE.model_features(rows, AS_OF, keep=KEY)
     return ST.stream_score(spark, feats_stream, m, KEY).drop("scored_at")

@@ -35,6 +35,6 @@ def test_splits_disjoint_and_complete(spark):
 def test_quantiles_partition_invariant(spark, values, parts):
     import numpy as np
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(parts)
-    r = exact_quantiles(df, [], "v", [0.25, 0.5, 0.75], ["a", "b", "c"], num_partitions=parts).first()
+    r = exact_quantiles(df, [], "v", [0.25, 0.5, 0.75], ["a", "b", "c"], accuracy=parts).first()
     expect = np.quantile(np.array(values, dtype=float), [0.25, 0.5, 0.75])
     assert np.allclose([r["a"], r["b"], r["c"]], expect, rtol=1e-12, atol=1e-9)
