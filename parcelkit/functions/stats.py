@@ -48,17 +48,11 @@ def nulls_for_nan(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({n: nan_to_null(F.col(f"`{n}`"), "double") for n in names}) if names else df
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _pin(df: DataFrame, checkpoint: bool) -> DataFrame:
-    """Reliable checkpoint of a range-partitioned frame that is read twice
-    (rows and per-partition totals): both reads then see the same partition
-    boundaries even if Spark does not reuse the exchange or recomputes a
-    stage after an executor loss."""
+    """A range-partitioned frame that is read twice (rows and per-partition
+    totals), written once: both reads then see the same partition boundaries
+    even if Spark does not reuse the exchange or recomputes a stage after an
+    executor loss."""
     if not checkpoint:
         return df
     return cut_lineage(df)
@@ -71,8 +65,8 @@ def global_index(df: DataFrame, order_cols: list, name: str = "_idx",
     ``order_cols`` must be a total order (include a unique tiebreak) so the
     result is deterministic.
     """
-    n = _n_parts(df, num_partitions)
-    ordered = _pin(df.repartitionByRange(n, *order_cols)
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ordered = _pin(ranged
                    .sortWithinPartitions(*order_cols)
                    .withColumn("_mid", F.monotonically_increasing_id())
                    .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelkit.functions.numeric import deviation
+from parcelkit.session import cut_lineage
 
 # Table constraints and submit checks.
 CONFIDENCE_RANGE = (1, 10)
@@ -115,15 +116,14 @@ def valuation_change(df: DataFrame, user_col: str = "user_id", ts_col: str = "cr
                      value_col: str = "predicted_price", tiebreak: str = "id") -> DataFrame:
     """Previous valuation of the same user and the change to it.
 
-    Skew-safe: rows are range-partitioned on (user, time), so a hot user is
-    spread over many tasks; the predecessor of each task's first row per
-    user comes from a table of per-(partition, user) last values, bounded by
-    partitions + users.
+    Skew-safe: rows are range-partitioned on (user, time) once, and written
+    with their partition's number, so a hot user is spread over many tasks and
+    both reads agree on the borders; the predecessor of each task's first row
+    per user comes from a table of per-(partition, user) last values, bounded
+    by partitions + users.
     """
-    from parcelkit.functions.stats import _n_parts
-    n = _n_parts(df, None)
     order = [user_col, ts_col, tiebreak]
-    ranged = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", user_col).orderBy(ts_col, tiebreak)
     local = (ranged.withColumn("_prev", F.lag(value_col).over(w))
                    .withColumn("_first", F.row_number().over(w) == 1))

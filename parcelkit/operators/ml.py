@@ -32,6 +32,7 @@ RF_SEARCH = {
     "minInstancesPerNode": [1, 2, 4, 6, 8],
     "featureSubsetStrategy": ["sqrt", "log2", "all"],
     "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
+    "bootstrap": [True, False],
 }
 GBT_SEARCH = {
     "maxIter": [100, 200, 300, 500, 1000],
@@ -41,6 +42,14 @@ GBT_SEARCH = {
     "subsamplingRate": [0.6, 0.7, 0.8, 0.9],
     "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9"],
 }
+# The configurations of the training job (boosting stops after ROUNDS_WITHOUT_GAIN).
+TRAINING_CONFIGS = {
+    "random_forest": {"numTrees": 500, "maxDepth": 20, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt",
+                      "seed": 42},
+    "gbt": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 8, "minInstancesPerNode": 3, "subsamplingRate": 0.8,
+            "featureSubsetStrategy": "0.8", "seed": 42},
+}
+ROUNDS_WITHOUT_GAIN = 50
 _CLASSES = {"random_forest": RandomForestRegressor, "gbt": GBTRegressor, "linear": LinearRegression}
 
 
@@ -50,11 +59,11 @@ def list_models() -> dict:
 
 def get_model(name: str, label: str = "label", features: str = "features", **overrides):
     """Estimator with registry defaults merged with ``overrides``."""
-    if name not in MODEL_DEFAULTS:
-        raise ValueError(f"Model '{name}' not found. Available models: {list(MODEL_DEFAULTS)}")
-    params = dict(MODEL_DEFAULTS[name])
-    params.update(overrides)
-    return _CLASSES[name](labelCol=label, featuresCol=features, **params)
+    try:
+        estimator, params = _CLASSES[name], MODEL_DEFAULTS[name] | overrides
+    except KeyError:
+        raise ValueError(f"no model named {name!r}; there are {', '.join(sorted(MODEL_DEFAULTS))}") from None
+    return estimator(labelCol=label, featuresCol=features, **params)
 
 
 def assembler(features: list[str], out: str = "features") -> VectorAssembler:
@@ -73,6 +82,31 @@ def train_with_early_stopping(df: DataFrame, features: list[str], label: str, va
     return Pipeline(stages=[assembler(features), est]).fit(df)
 
 
+def best_round(errors: list[float], patience: int = ROUNDS_WITHOUT_GAIN) -> int:
+    """Rounds to keep: the best one so far when ``patience`` rounds in a row brought no gain."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def train_with_patience(train_df: DataFrame, validation_df: DataFrame, features: list[str], label: str,
+                        patience: int = ROUNDS_WITHOUT_GAIN, **params) -> tuple[PipelineModel, list[float]]:
+    """Boosted trees cut back to the best round by validation error (squared
+    error of each round, one pass); returns the model and those errors.  The
+    shorter model is fitted again with the same seed, so its rounds are the
+    first rounds of the longer one."""
+    full = train(train_df, features, label, "gbt", **params)
+    errors = [float(e) for e in full.stages[-1].evaluateEachIteration(full.stages[0].transform(validation_df), "squared")]
+    rounds = best_round(errors, patience)
+    if rounds == len(errors):
+        return full, errors
+    return train(train_df, features, label, "gbt", **{**params, "maxIter": rounds}), errors
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
     imp = model.stages[-1].featureImportances.toArray().tolist()  # one value per feature
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")

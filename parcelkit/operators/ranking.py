@@ -41,13 +41,18 @@ def hash_split(df: DataFrame, hash_col: Column, test_fraction: float = 0.2, buck
 def holdout_tail(df: DataFrame, order: list, fraction: float = 0.2, out: str = "split") -> DataFrame:
     """Rows after position n - int(fraction * n) in ``order`` -> 'validation'.
 
-    ``order`` must be a total order.  n is a scalar subquery; positions come
-    from a range-partitioned index."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    cut = n - F.floor(n * F.lit(fraction))
-    idx = global_index(df, order, "_rowpos")
-    return (idx.withColumn(out, F.when(F.col("_rowpos") > cut, F.lit("validation")).otherwise(F.lit("train")))
-               .drop("_rowpos"))
+    ``order`` must be a total order of ascending columns.  Only the key columns
+    are ranked, to find the last training key; the rows are then compared with
+    it in a projection, so they are not moved."""
+    names = [f"o{i}" for i in range(len(order))]
+    keys = global_index(df.select(*[c.alias(k) for c, k in zip(order, names)]), [F.col(k) for k in names], "_at")
+    n = keys.count()
+    cut = n - int(n * fraction)
+    if cut == 0:
+        return df.withColumn(out, F.lit("validation"))
+    last = keys.where(F.col("_at") == cut).select(F.struct(*names).alias("k")).scalar()
+    key = F.struct(*[c.alias(k) for c, k in zip(order, names)])
+    return df.withColumn(out, F.when(key > last, F.lit("validation")).otherwise(F.lit("train")))
 
 
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tiebreak: list[str] | None = None) -> DataFrame:

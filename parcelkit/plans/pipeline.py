@@ -149,7 +149,7 @@ def mitigate(df: DataFrame, features: list[str], label: str, group: str, key: li
     w = cut_lineage(w) if checkpoint else w
     strengths = [g / 0.1 for g in log_grid(-3, -1, grid_size)]   # (0, 1]
     rows = [(0, 0.0, orig_score)]
-    best = (orig_score if orig_score is not None else float("inf"), orig_pred)
+    best, best_at = (orig_score if orig_score is not None else float("inf"), orig_pred), 0
     for p in (1, 2):
         for s in strengths:
             col = f"_w{p}"
@@ -161,32 +161,36 @@ def mitigate(df: DataFrame, features: list[str], label: str, group: str, key: li
             sc = sc[0] if sc else None
             rows.append((p, float(s), sc))
             if sc is not None and sc < best[0]:
-                best = (sc, pred)
-    spark = df.sparkSession
-    best_score = best[0]
-    cands = spark.createDataFrame(rows, "pass int, strength double, disparity_score double").withColumn(
-        "chosen", F.col("disparity_score") == F.lit(best_score))
+                best, best_at = (sc, pred), len(rows) - 1
+    # Equal scores: the first candidate, so exactly one row is chosen.
+    cands = df.sparkSession.createDataFrame([(*r, i == best_at) for i, r in enumerate(rows)],
+                                            "pass int, strength double, disparity_score double, chosen boolean")
     calibrated = FA.calibrate(best[1], label, "prediction", group)
     return MitigationResult(cands, calibrated)
 
 
 def evaluate_and_mitigate(df: DataFrame, features: list[str], label: str, sensitive: dict[str, str],
-                          key: list[str], rounds: int = 3, **kw) -> DataFrame:
+                          key: list[str], rounds: int = 3, **kw) -> tuple[DataFrame, DataFrame]:
     """Up to ``rounds`` rounds (M7): analyse bias of the current predictions,
-    mitigate each significant feature, re-evaluate.  Returns the report of
-    every round (round, feature, significant, rmse_ratio, ...)."""
+    mitigate each significant feature after the other, and analyse once more
+    at the end.  Returns (the report of every round, the mitigated predictions
+    with the key, label and groups); the last round's report is of the latter.
+
+    Features are chained: a later one starts from the frame, and its result
+    replaces the predictions that the earlier one left."""
     pred_col = "prediction"
     model = ML.train(df, features, label, kw.get("name", "linear"))
-    current = model.transform(df).drop("features")
+    current = cut_lineage(model.transform(df).drop("features"))
     reports = None
-    for r in range(rounds):
+    for r in range(rounds + 1):
         long = FA.sensitive_long(current, sensitive, label, pred_col)
-        rep = FA.bias_report(FA.bias_metrics(long), list(sensitive)).withColumn("round", F.lit(r))
+        rep = cut_lineage(FA.bias_report(FA.bias_metrics(long), list(sensitive)).withColumn("round", F.lit(r)))
         reports = rep if reports is None else reports.unionByName(rep)
-        flagged = [row["feature"] for row in rep.where("significant").select("feature").collect()]
-        if not flagged:
+        flagged = [row["feature"] for row in rep.where("significant").select("feature").collect()]   # sensitive features
+        if not flagged or r == rounds:
             break
         for f in flagged:
             res = mitigate(current.drop(pred_col), features, label, sensitive[f], key, **kw)
-            current = current.drop(pred_col).join(res.predictions.select(*key, F.col("calibrated").alias(pred_col)), key)
-    return reports
+            mitigated = res.predictions.select(*key, F.col("calibrated").alias(pred_col))
+            current = cut_lineage(current.drop(pred_col).join(mitigated, key))
+    return reports, current.select(*dict.fromkeys([*key, label, *sensitive.values(), pred_col]))

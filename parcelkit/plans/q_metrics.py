@@ -304,7 +304,7 @@ SELECT feature, round(importance, 4) AS importance FROM imp ORDER BY importance
                                       extra=[_attr_sql()]))
 def q_top_importance(spark, sf):
     a = b.assess(spark, sf)
-    imp = AT.mean_abs_attribution(AT.linear_attributions(a, LINEAR_COEFS, KEY))
+    imp = AT.mean_abs_attribution(a, LINEAR_COEFS)
     return rounded(R.top_k(imp, "importance", 10))
 
 
@@ -312,7 +312,7 @@ def q_top_importance(spark, sf):
                                        extra=[_attr_sql()]))
 def q_mean_importance(spark, sf):
     a = b.assess(spark, sf)
-    return rounded(AT.overall_importance(AT.linear_attributions(a, LINEAR_COEFS, KEY)))
+    return rounded(AT.overall_importance(a, LINEAR_COEFS))
 
 
 def _total_sql():

@@ -302,9 +302,40 @@ def q_mitigate(spark, sf):
 @register("bias_mitigation_rounds")
 def q_bias_mitigation_rounds(spark, sf):
     """Evaluate -> mitigate significant features -> re-evaluate (M7)."""
-    d = _ml_frame(spark, sf)
-    return rounded(PL.evaluate_and_mitigate(d, _features(d), Y, {"OWN_OCC": "OWN_OCC"}, KEY, rounds=2,
-                                            name="linear", grid_size=2))
+    reports, _ = PL.evaluate_and_mitigate(_gap_frame(spark, sf), _GAP_FEATURES, Y, {"OWN_OCC": "OWN_OCC", "GROUP_2": "GROUP_2"},
+                                          KEY, rounds=1, name="linear", grid_size=2)
+    return rounded(reports)
+
+
+# One group's values are 40 % higher, and the features do not say which group a row is in.
+_GAP_FEATURES = ["GROSS_AREA", "LIVING_AREA", "TT_RMS"]
+
+
+def _gap_frame(spark, sf):
+    a = b.assess(spark, sf).select(*KEY, "OWN_OCC", *_GAP_FEATURES, Y)
+    second = F.pmod(F.col("l_suppkey"), F.lit(2)).cast("bigint")
+    gap = F.when(F.col("OWN_OCC") == 1, 1.4).otherwise(1.0)
+    return cut_lineage(a.withColumn("GROUP_2", second).withColumn(Y, F.col(Y) * gap))
+
+
+@register("mitigated_predictions", with_ctes(f"""
+SELECT {KEY_SQL}, round(TOTAL_VALUE * CASE WHEN OWN_OCC = 1 THEN 1.4 ELSE 1.0 END, 4) AS TOTAL_VALUE, OWN_OCC,
+  CAST(l_suppkey % 2 AS BIGINT) AS GROUP_2, true AS gap_not_wider FROM assess""", "assess"))
+def q_mitigated_predictions(spark, sf):
+    """Every row's mitigated prediction; ``gap_not_wider``: the groups' mean
+    predictions are no farther apart, against the truth, than those of the plain model."""
+    d = _gap_frame(spark, sf)
+    _, out = PL.evaluate_and_mitigate(d, _GAP_FEATURES, Y, {"OWN_OCC": "OWN_OCC", "GROUP_2": "GROUP_2"}, KEY, rounds=1,
+                                      name="linear", grid_size=2)
+    plain = ML.train(d, _GAP_FEATURES, Y, "linear").transform(d)
+
+    def gap(df):
+        bias = F.col("prediction") - F.col(Y)
+        mean = lambda g: F.avg(F.when(F.col("OWN_OCC") == g, bias))
+        return df.agg(F.abs(mean(1) - mean(0))).first()[0]
+
+    better = gap(out) <= gap(plain) + 1e-6
+    return rounded(out.drop("prediction").withColumn("gap_not_wider", F.lit(better)))
 
 
 # ------------------------------------------------------------- streaming --

@@ -52,6 +52,10 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+#: Stands in for spark.checkpoint.dir in a local session that has none.
+_local_root: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; a local one is set only if none is
     configured and all tasks run in this process."""
@@ -60,8 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "")
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(f"spark.checkpoint.dir is not set, and executors of {master!r} need a shared folder")
-        root = tempfile.mkdtemp(prefix="parcelkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        global _local_root
+        root = _local_root = _local_root or tempfile.mkdtemp(prefix="parcelkit-ckpt-")
     try:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)

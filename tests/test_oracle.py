@@ -38,8 +38,8 @@ def test_query_matches_oracle(spark, con, name):
     assert r1 == r2
 
 
-def test_every_query_has_rows_or_oracle(spark):
-    qs = entry.queries()
-    assert "flagship" in qs and len(qs) >= 80
+def test_every_oracle_has_a_query_and_entry_runs(spark):
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     out = entry.entry(spark)
-    assert out.count() >= 0 and "rmse" in out.columns
+    rows = out.collect()
+    assert {r["level"] for r in rows} == {"group", "overall"} and all(r["rmse"] > 0 for r in rows)
