@@ -40,9 +40,9 @@ WORDS, THRESHOLD = 5, 0.8
 #: At similarity 0.8 a pair shares no band with probability (1 - 0.8**5)**25 < 0.0001.
 BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 1024
-SLICE = 4 << 20
+#: Members of a bucket, and bytes of their shingles, that one task compares with as many others.
+BLOCK, BLOCK_BYTES = 512, 16 << 20
+SLICE = 2 << 20
 
 _U = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -61,7 +61,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: str) -> int:
         import xxhash
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -166,21 +166,26 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return keyed.mapInArrow(sketch, "id bigint, k1 bigint, k2 bigint, bands array<bigint>, prints binary")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-              threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold.
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """(node, text) of each wanted class, written; (frame, path).
 
-    Texts are fetched once per class that is in a pair, then joined to the
-    pairs; a class in very many pairs is a hot key of a join AQE can split."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted, wanted_path = materialize(nodes.join(classes.select("node", "k1", "k2", "id"), "node"), "near-wanted")
+    Always a sort-merge join: at scale the wanted keys are too many to be
+    broadcast, and the plan should not differ from that on a small table."""
+    wanted, wanted_path = materialize(nodes.distinct().join(classes.select("node", "k1", "k2", "id"), "node"),
+                                      "near-wanted")
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("k1"),
                         F.xxhash64(F.lit(7), text).alias("k2"))
     same = (keyed["k1"] == wanted["k1"]) & (keyed["k2"] == wanted["k2"]) & keyed["id"].eqNullSafe(wanted["id"])
-    texts, texts_path = materialize(keyed.join(wanted, same).select("node", "text").dropDuplicates(["node"]),
-                                    "near-texts")
+    found = materialize(keyed.join(wanted.hint("merge"), same).select("node", "text").dropDuplicates(["node"]),
+                        "near-texts")
+    drop_table(docs.sparkSession, wanted_path)
+    return found
 
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose exact similarity reaches the threshold; a text in
+    very many pairs is a hot key of a join that AQE can split."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, tuple] = {}
 
@@ -193,35 +198,55 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
             return found
 
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            ta, tb = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            linked = [probability_jaccard(of(x, s), of(y, t)) >= threshold
-                      for x, y, s, t in zip(a, b, ta, tb, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(
-                pa.array(linked, pa.bool_()))
+            for part in text_slices([batch], "text_a"):
+                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+                ta, tb = part.column("text_a").to_pylist(), part.column("text_b").to_pylist()
+                linked = [probability_jaccard(of(x, s), of(y, t)) >= threshold
+                          for x, y, s, t in zip(a, b, ta, tb, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(
+                    pa.array(linked, pa.bool_()))
 
     with_texts = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
                   .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
                   .select("a", "b", "text_a", "text_b"))
-    links, _ = materialize(with_texts.mapInArrow(verify, "a bigint, b bigint"), "near-links")
-    drop_table(docs.sparkSession, wanted_path, texts_path)
-    return links
+    return materialize(with_texts.mapInArrow(verify, "a bigint, b bigint"), "near-links")[0]
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """(node, sets): each text's shingles and counts as bytes."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text", SLICE):
+            found = [shingles(t) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), pa.array([e.tobytes() + w.astype(np.uint32).tobytes() for e, w in found],
+                                               pa.binary())], ["node", "sets"])
 
+    return texts.mapInArrow(pack, "node bigint, sets binary")
 
-def _cross_candidates(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different components in a bucket whose signatures agree
-    in enough components, once each: at the first band both share.
 
-    ``members``: band, hash, node, label, prints, n.  A bucket larger than a
-    block is cut into blocks; each member goes to the groups (i, j) of its
-    block with every block, so no task holds more than two blocks."""
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(raw) // 12
+    return np.frombuffer(raw, _U, n), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.int64)
+
+
+def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components in a bucket.
+
+    ``members``: band, hash, node, label, prints, sets.  Pairs whose signatures
+    agree in enough components are verified exactly where they first share a
+    band, the likeliest first, and a pair that earlier links of the task have
+    joined already needs none; so a task returns a spanning forest, not pairs.
+    A large bucket is cut into blocks by members and bytes; each member goes to
+    the groups (i, j) of its block with every block, so a task holds two."""
     least = COMPONENTS * threshold - 4 * (COMPONENTS * threshold * (1 - threshold)) ** 0.5
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (members.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", other)
+    size = (members.groupBy("band", "hash")
+            .agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)),
+                            F.ceil(F.sum(F.octet_length("sets")) / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (members.join(size, ["band", "hash"]).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", "hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", "node", "label", "prints"))
+                     "own", "node", "label", "prints", "sets"))
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
         band, _, i, j = (k.as_py() for k in key)
@@ -229,7 +254,7 @@ def _cross_candidates(members: DataFrame, threshold: float) -> DataFrame:
         node, label = group.column("node").to_numpy(), group.column("label").to_numpy()
         prints = np.frombuffer(b"".join(group.column("prints").to_pylist()), np.uint16).reshape(len(node), COMPONENTS)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
+        found = []
         for x in left:
             rivals = right[label[right] != label[x]]
             if i == j:
@@ -237,12 +262,35 @@ def _cross_candidates(members: DataFrame, threshold: float) -> DataFrame:
             if not len(rivals):
                 continue
             equal = prints[rivals] == prints[x]
-            good = equal.sum(1) >= least
+            agree = equal.sum(1)
+            good = agree >= least
             if band:   # a band they share before this one has the pair already
                 good &= ~equal[:, :band * ROWS].reshape(len(rivals), band, ROWS).all(2).any(1)
-            for y in rivals[good]:
-                a.append(max(node[x], node[y]))
-                b.append(min(node[x], node[y]))
+            if good.any():
+                found.append(np.stack([agree[good], np.full(good.sum(), x), rivals[good]], 1).astype(np.int32))
+        a, b = [], []
+        if found:
+            pairs = np.concatenate(found)
+            raw = group.column("sets").to_pylist()
+            parent = {v: v for v in label.tolist()}
+
+            def root(v: int) -> int:
+                while parent[v] != v:
+                    parent[v] = v = parent[parent[v]]
+                return v
+
+            sets: dict[int, tuple] = {}
+            for x, y in pairs[np.argsort(-pairs[:, 0], kind="stable"), 1:].tolist():
+                u, v = root(int(label[x])), root(int(label[y]))
+                if u == v:
+                    continue
+                for k in (x, y):
+                    if k not in sets:
+                        sets[k] = _unpacked(raw[k])
+                if probability_jaccard(sets[x], sets[y]) >= threshold:
+                    parent[u] = v
+                    a.append(int(node[x]))
+                    b.append(int(node[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.groupBy("band", "hash", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
@@ -268,20 +316,24 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs = (held.select(F.col("node").alias("a"), F.explode(F.array("pivot", "far")).alias("b")).where("a <> b")
              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     pairs, pairs_path = materialize(pairs, "near-pairs")
-    links = _verified(pairs, classes, docs, id_col, text_col, threshold)
+    texts, texts_path = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))),
+                               classes, docs, id_col, text_col)
+    links = _verified(pairs, texts, threshold)
     roots = connected_components(links)
 
-    # 2. Buckets that still hold several components: pairs across them that were not compared yet.
+    # 2. Buckets that still hold several components: links across them.  Every
+    # member of a bucket was in a pair, so its text is at hand.
     label = F.coalesce(F.col("v"), F.col("node"))
     labelled = held.where("n > 2").join(roots, held["node"] == roots["u"], "left").withColumn("label", label)
-    labelled = labelled.select("band", "hash", "node", "label", "n")
+    labelled = labelled.select("band", "hash", "node", "label")
     mixed = (labelled.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .where("lo <> hi").select("band", "hash"))
-    members = labelled.join(mixed, ["band", "hash"]).join(classes.select("node", "prints"), "node")
-    cross = _cross_candidates(members, threshold).join(pairs, ["a", "b"], "left_anti")
-    cross, cross_path = materialize(cross, "near-cross")
-    if not cross.isEmpty():
-        more = _verified(cross, classes, docs, id_col, text_col, threshold)
+    members, members_path = materialize(labelled.join(mixed, ["band", "hash"]), "near-members")
+    sets, sets_path = materialize(
+        _packed(texts.join(members.select("node").distinct(), "node", "left_semi"))
+        .join(classes.select("node", "prints"), "node"), "near-sets")
+    more, _ = materialize(_cross_links(members.join(sets, "node"), threshold), "near-links")
+    if not more.isEmpty():
         roots = connected_components(links.union(more))
 
     grouped = (classes.select("k1", "k2", "id", "node").join(roots, classes["node"] == roots["u"], "left")
@@ -292,7 +344,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         grouped.join(first, "root").select("k1", "k2", F.col("first.id").alias("class_id"),
                                            ((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")))
                                            .alias("chosen")), "near-named")
-    drop_table(spark, classes_path, held_path, pairs_path, cross_path)
+    drop_table(spark, classes_path, held_path, pairs_path, texts_path, members_path, sets_path)
     return sketch.select("id", "k1", "k2"), named, [sketch_path, named_path]
 
 
