@@ -40,6 +40,8 @@ MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 256 << 20
 #: Ranges that lie this close are read at once, up to READ_BYTES.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Archive bytes that one reading task gets.
+TASK_BYTES = 128 << 20
 
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -193,8 +195,11 @@ def coalesce_ranges(places: Iterator[tuple[str, int, int]], gap: int = GAP_BYTES
 def read_records(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
     """The records of the given index rows: page_id, url, payload_bytes,
     payload_digest, record_type, refers_to (and payload)."""
-    stretch = F.floor(F.col("offset") / F.lit(4 * READ_BYTES))   # a file's parts go to different tasks
-    places = (index.select("file", "offset", "length").repartition("file", stretch)
+    # Tasks are counted by the bytes to read, not by the size of the index rows that say where.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    stretch = F.floor(F.col("offset") / F.lit(READ_BYTES))
+    places = (index.select("file", "offset", "length").repartition(tasks, "file", stretch)
               .sortWithinPartitions("file", "offset"))
     schema = _RECORD + (", payload binary" if payloads else "")
     names = [c.split(" ")[0] for c in schema.split(", ")]
