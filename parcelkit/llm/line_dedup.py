@@ -156,11 +156,14 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, ra
         F.array_distinct(F.filter("lines", lambda x: x["n"] > 0))).alias("x"))
     lines = lines.select("_rep", "_k1", "_k2", F.col("x.h").alias("h"), F.col("x.n").alias("n"),
                          (F.array_position("lines", F.col("x")) - 1).alias("at"))
-    shared = (lines.groupBy("h", "n")
-              .agg(F.count(F.lit(1)).alias("df"),
-                   F.min(F.struct(F.col("_rep").alias("rep"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"),
-                                  F.col("at"))).alias("first"))
-              .where("df > 1"))
+    # Written before it is joined: else the join would run in the stage of this aggregate, where
+    # AQE cannot split the rows of a very common line.
+    shared, shared_path = materialize(
+        lines.groupBy("h", "n")
+        .agg(F.count(F.lit(1)).alias("df"),
+             F.min(F.struct(F.col("_rep").alias("rep"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"),
+                            F.col("at"))).alias("first"))
+        .where("df > 1"), "line-shared")
     later, later_path = materialize(
         lines.drop("at").join(shared, ["h", "n"]).where("_k1 <> first.k1 OR _k2 <> first.k2")
         .select("_k1", "_k2", "h", "n", "df", "first.*"), "later-lines")
@@ -179,7 +182,7 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, ra
     plan, _ = materialize(
         classes.select("_k1", "_k2", "_rep", "_copies", chars.alias("_chars")).join(gone, ["_k1", "_k2"], "left")
         .where("_copies > 1 OR _gone IS NOT NULL"), "line-plan")
-    drop_table(spark, classes_path, later_path)
+    drop_table(spark, classes_path, shared_path, later_path)
     return plan
 
 
