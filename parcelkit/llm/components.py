@@ -13,19 +13,19 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, str]:
     """Every larger neighbour of a node is hung below the node's smallest one."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least, path = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (both.where("v > u").join(least, "u")
-            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()), path
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, str]:
     """A node and its smaller neighbours are hung below the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least, path = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     rest = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return rest.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return rest.union(least.select("u", F.col("m").alias("v"))).distinct(), path
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -33,17 +33,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     its component, with that smallest node v.
 
     Minima are partial aggregates, so a node with very many edges is combined
-    before the shuffle, and the joins that follow are ones AQE can split.  The
-    edge table of a step is written to the shared folder and the one before it
-    removed.  Ends when a step changes nothing (a logarithmic number)."""
+    before the shuffle; they are written before they are joined, so the join is
+    one whose hot nodes AQE can split.  The edge table of a step is written to
+    the shared folder and the one before it removed.  Ends when a step changes
+    nothing (a logarithmic number)."""
     spark = edges.sparkSession
     oriented = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     current, path = materialize(oriented, "edges")
     state = _fingerprint(current)
     while state[0]:
-        following, new_path = materialize(_small_star(_large_star(current)), "edges")
+        large, least_path = _large_star(current)
+        middle, middle_path = materialize(large, "edges")
+        small, less_path = _small_star(middle)
+        following, new_path = materialize(small, "edges")
         new_state = _fingerprint(following)
-        drop_table(spark, path)
+        drop_table(spark, path, least_path, middle_path, less_path)
         current, path = following, new_path
         if new_state == state:
             break

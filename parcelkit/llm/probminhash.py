@@ -239,9 +239,11 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
     A large bucket is cut into blocks by members and bytes; each member goes to
     the groups (i, j) of its block with every block, so a task holds two."""
     least = COMPONENTS * threshold - 4 * (COMPONENTS * threshold * (1 - threshold)) ** 0.5
-    size = (members.groupBy("band", "hash")
-            .agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)),
-                            F.ceil(F.sum(F.octet_length("sets")) / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")))
+    size, _ = materialize(
+        members.groupBy("band", "hash")
+        .agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)),
+                        F.ceil(F.sum(F.octet_length("sets")) / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")),
+        "near-sizes")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (members.join(size, ["band", "hash"]).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -308,8 +310,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                        F.first("prints").alias("prints"))
         .withColumn("node", F.monotonically_increasing_id()), "near-classes")
     rows = classes.select("node", F.posexplode("bands").alias("band", "hash"))
-    buckets = (rows.groupBy("band", "hash").agg(F.min("node").alias("pivot"), F.max("node").alias("far"),
-                                                F.count(F.lit(1)).alias("n")).where("n > 1"))
+    # Aggregates by bucket are written before they are joined: else the join would run in their
+    # stage, where AQE cannot split the rows of a very large bucket.
+    buckets, buckets_path = materialize(
+        rows.groupBy("band", "hash").agg(F.min("node").alias("pivot"), F.max("node").alias("far"),
+                                         F.count(F.lit(1)).alias("n")).where("n > 1"), "near-pivots")
     held, held_path = materialize(rows.join(buckets, ["band", "hash"]), "near-buckets")
 
     # 1. Each member of a bucket with the bucket's two pivots.
@@ -325,9 +330,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # member of a bucket was in a pair, so its text is at hand.
     label = F.coalesce(F.col("v"), F.col("node"))
     labelled = held.where("n > 2").join(roots, held["node"] == roots["u"], "left").withColumn("label", label)
-    labelled = labelled.select("band", "hash", "node", "label")
-    mixed = (labelled.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .where("lo <> hi").select("band", "hash"))
+    labelled, labelled_path = materialize(labelled.select("band", "hash", "node", "label"), "near-labelled")
+    mixed, mixed_path = materialize(
+        labelled.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo <> hi").select("band", "hash"), "near-mixed")
     members, members_path = materialize(labelled.join(mixed, ["band", "hash"]), "near-members")
     sets, sets_path = materialize(
         _packed(texts.join(members.select("node").distinct(), "node", "left_semi"))
@@ -344,7 +350,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         grouped.join(first, "root").select("k1", "k2", F.col("first.id").alias("class_id"),
                                            ((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")))
                                            .alias("chosen")), "near-named")
-    drop_table(spark, classes_path, held_path, pairs_path, texts_path, members_path, sets_path)
+    drop_table(spark, classes_path, buckets_path, held_path, pairs_path, texts_path, labelled_path, mixed_path,
+               members_path, sets_path)
     return sketch.select("id", "k1", "k2"), named, [sketch_path, named_path]
 
 
