@@ -35,7 +35,7 @@ from parcelkit.llm.codepoints import LETTER, NUMBER, SPACE, classes
 from parcelkit.llm.common import text_slices
 
 #: Distinct pieces remembered by one Python worker, in each of two generations.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 #: Text bytes scanned at once.
 SLICE = 4 << 20
 
