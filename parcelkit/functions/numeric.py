@@ -82,16 +82,6 @@ def age_category(age) -> Column:
     return F.when(age.isNull(), F.lit(None)).otherwise(expr.otherwise(F.lit(AGE_TOP_LABEL)))
 
 
-def age_category_rank(age) -> Column:
-    """Sort key of the ordered age categories (0..5)."""
-    age = _col(age)
-    expr = None
-    for i, (edge, _) in enumerate(AGE_BINS):
-        cond = age <= edge
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return F.when(age.isNull(), F.lit(None)).otherwise(expr.otherwise(F.lit(len(AGE_BINS))))
-
-
 def valid_year(y, as_of_year: int, floor_year: int = 1700) -> Column:
     y = _col(y)
     return y.isNotNull() & (y > floor_year) & (y <= as_of_year)

@@ -111,6 +111,28 @@ def test_quantiles_when_the_sketch_misses(spark):
             assert np.allclose(tuple(r)[1:6], np.quantile(mine, probs), rtol=1e-12) and r.n == len(mine)
 
 
+def test_sinks_and_registered_metrics(spark):
+    from parcelkit.operators import metrics as M
+    from parcelkit.operators import validation as V
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 2.0, 2.0)], "k string, y double, p double")
+    for fmt in ("json", "csv", "parquet"):
+        path = scratch_path(spark, "report")
+        S.write_report(df, path, fmt)
+        back = spark.read.option("header", True).schema(df.schema).format(fmt).load(path).select(*df.columns)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    path = scratch_path(spark, "table")
+    S.append_table(df, path)
+    S.append_table(df.limit(1), path, None)
+    assert spark.read.parquet(path).count() == 3
+    profile, top = V.column_statistics(df, k=1)
+    assert profile.count() == 3 and top.count() == 3
+    M.register_metric("bias", lambda y, p: F.avg(p - y))
+    try:
+        assert df.agg(M.metric_columns("y", "p", ["bias"])["bias"].alias("b")).first().b == 0.5
+    finally:
+        M.METRICS.pop("bias")
+
+
 def test_boosting_keeps_the_best_round():
     assert ML.best_round([5, 4, 3, 3.5, 3.4, 1], patience=2) == 3
     assert ML.best_round([5, 4, 3], patience=2) == 3 and ML.best_round([1, 2, 3, 4], patience=50) == 1
