@@ -3,9 +3,9 @@
 Documents that overlap are found through the rare lines they share (line
 hashes in at most ``rare`` different texts): each is paired with the earliest
 document that has the line, so a line gives as many pairs as it has later
-occurrences.  A pair's line sequences are aligned by patience diff, and
-aligned common blocks of at least ``min_chars`` characters go from the later
-document.  Common lines, which would pair a document with very many others,
+occurrences.  A pair's line sequences are aligned by patience diff, then
+the runs that stand in another order or more than once are matched; common
+blocks of at least ``min_chars`` characters go from the later document.  Common lines, which would pair a document with very many others,
 need no partner's text: a run of them that stands in the same order, without a
 gap, in the earliest document that has them is such a block too.  Equal texts
 are one class first: all but the earliest are one aligned block.  No pair is
@@ -26,6 +26,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,7 +56,77 @@ def _longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience_matches(a: list, b: list) -> list[tuple[int, int]]:
+def common_runs(a: list, b: list) -> Iterator[tuple[int, int, int]]:
+    """Runs of equal items as (i, j, length): of each place in ``b`` the longest one that ends
+    there and stands anywhere in ``a``, unless the next place makes it longer.  In linear time
+    by the suffix automaton of ``a``."""
+    step, link, size, end, last = [{}], [-1], [0], [-1], 0
+    for i, x in enumerate(a):
+        new, at = len(step), last
+        step.append({})
+        link.append(0)
+        size.append(i + 1)
+        end.append(i)
+        while at >= 0 and x not in step[at]:
+            step[at][x] = new
+            at = link[at]
+        if at >= 0:
+            to = step[at][x]
+            if size[to] != size[at] + 1:
+                copy = len(step)
+                step.append(dict(step[to]))
+                link.append(link[to])
+                size.append(size[at] + 1)
+                end.append(end[to])
+                while at >= 0 and step[at].get(x) == to:
+                    step[at][x] = copy
+                    at = link[at]
+                link[to] = to = copy
+            link[new] = to
+        last = new
+    at = n = 0
+    before = (-1, -1, 0)
+    for j, x in enumerate(b):
+        while at and x not in step[at]:
+            at = link[at]
+            n = size[at]
+        n = n + 1 if x in step[at] else 0
+        at = step[at].get(x, 0)
+        if before[2] and n != before[2] + 1:
+            yield before
+        before = (end[at] - n + 1, j - n + 1, n)
+    if before[2]:
+        yield before
+
+
+def patience_matches(a: list, b: list, weights: list[int] | None = None, least: int = 0) -> list[tuple[int, int]]:
+    """Positions (i, j) of equal items: the patience alignment, then the runs it cannot have
+    because they stand in another order or more than once in a text.
+
+    With the ``weights`` of ``b``, of these runs only what is needed that each item of a run of
+    at least ``least`` is in one."""
+    out = _patience(a, b)
+    aligned, until = {j: i for i, j in out}, {}
+    for i, j in reversed(out):
+        until[j] = until[j + 1] if aligned.get(j + 1) == i + 1 else j + 1
+    total = list(accumulate(weights, initial=0)) if weights is not None else None
+    done = 0
+    for i, j, n in common_runs(a, b):
+        if until.get(j, 0) >= j + n:
+            continue
+        start, stop = j, j + n
+        if total is not None:
+            if total[stop] - total[start] < least:
+                continue
+            start = max(start, done)
+            while total[stop] - total[start] < least:
+                start -= 1
+            done = stop
+        out += [(i + k - j, k) for k in range(start, stop)]
+    return out
+
+
+def _patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned positions (i, j) of equal items: equal ends first, then the
     items unique in both as anchors, and the same between the anchors."""
     out, todo = [], [(0, len(a), 0, len(b))]
@@ -113,7 +184,8 @@ def _aligned_blocks(pairs: DataFrame, min_chars: int) -> DataFrame:
             gone = []
             for early, late in zip(batch.column("early").to_pylist(), batch.column("late").to_pylist(), strict=True):
                 a, b = [(x["h"], x["n"]) for x in early], [(x["h"], x["n"]) for x in late]
-                gone.append(heavy_blocks(patience_matches(a, b), [n for _, n in b], min_chars))
+                weights = [n for _, n in b]
+                gone.append(heavy_blocks(patience_matches(a, b, weights, min_chars), weights, min_chars))
             yield pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"),
                                               pa.array(gone, pa.list_(pa.int32()))], ["_k1", "_k2", "gone"])
 

@@ -92,3 +92,32 @@ def test_query_on_the_small_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = sorted(((r.doc_id, r.text, r.removed_lines) for r in QUERIES["op9_line_dedup"](spark, SF).collect()), key=str)
     assert got == brute(rows)
+
+
+def common_blocks(a, b, weights, least):
+    """Places in ``b`` of all heavy runs that also stand in ``a``, by a matcher of its own."""
+    gone = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                k += 1
+            if sum(weights[j:j + k]) >= least:
+                gone |= set(range(j, j + k))
+    return gone
+
+
+def test_repeated_and_moved_passages(spark):
+    p, q = [f"p{k} " + "p" * 18 for k in range(3)], [f"q{k} " + "q" * 18 for k in range(3)]
+    for early, late, kept in ((p + ["x"] + p, ["y"] + p + ["z"], "y\nz"), (p, p + ["y"] + p, "y"), (p + q, q + p, ""),
+                              (p + ["x"], ["y"] + p[1:] + p + q, "\n".join(["y"] + q))):
+        assert run(spark, [(1, "\n".join(early)), (2, "\n".join(late))])[1][1] == kept
+    rng = random.Random(3)
+    for _ in range(3000):
+        size = [rng.choice([0, 1, 5, 20, 41]) for _ in range(rng.randint(2, 8))]
+        a, b = ([rng.randrange(len(size)) for _ in range(rng.randrange(14))] for _ in "ab")
+        weights = [size[x] for x in b]
+        for more in ([], [weights, 40]):
+            got = line_dedup.patience_matches(a, b, *more)
+            assert all(a[i] == b[j] for i, j in got)
+            assert set(line_dedup.heavy_blocks(got, weights, 40)) == common_blocks(a, b, weights, 40)
