@@ -1,17 +1,23 @@
-"""Line deduplication by pairwise alignment of documents.
-
-Documents that overlap are found through the rare lines they share (line
-hashes in at most ``rare`` different texts): each is paired with the earliest
-document that has the line, so a line gives as many pairs as it has later
-occurrences.  A pair's line sequences are aligned by patience diff, then
-the runs that stand in another order or more than once are matched; common
-blocks of at least ``min_chars`` characters go from the later document.  Common lines, which would pair a document with very many others,
-need no partner's text: a run of them that stands in the same order, without a
-gap, in the earliest document that has them is such a block too.  Equal texts
-are one class first: all but the earliest are one aligned block.  No pair is
-dropped or capped.
-
-Only line hashes travel; texts are joined once with what is to be deleted.
+"""Line deduplication: blocks of lines that an earlier document has too go.
+
+A block is any run of neighbouring lines of at least ``min_chars`` characters
+that stands, in the same order and without a gap, in any earlier document, no
+matter where, in what order or how often.  Every line of such a block is in a
+shortest window of lines of ``min_chars`` characters that begins or ends inside
+it, so the hashes of those windows are grouped, and all places of a window but
+those of its earliest document go: linear in the lines, whether a window is
+rare or common, and no document is joined with another.  Equal texts are one
+class first: all but the earliest are one block.
+
+With ``rare`` documents are aligned in pairs instead, and each line has one
+partner only: through the lines in at most ``rare`` different texts a document
+is paired with the earliest one that has the line.  A pair's line sequences are
+aligned by patience diff, then the runs that stand in another order or more
+than once are matched.  Of the common lines, runs that stand in the earliest
+document that has them go.
+
+Only line and window hashes travel; texts are joined once with what is to be
+deleted.
 
 Order is that of the ids (null last, then by text digest).  Defined cases: a
 null text stays null, an empty one empty; rows with equal id and text are the
@@ -36,6 +42,8 @@ from parcelkit.llm.common import drop_table, materialize
 
 MIN_CHARS = 40
 RARE = 16
+WINDOW_ROWS = 100_000
+_PRIME, _BASE = (1 << 107) - 1, 0x3C6EF372FE94F82BE73980C0B9
 _LAST = (1 << 63) - 1
 
 
@@ -213,17 +221,93 @@ def _common_runs(rows: DataFrame, min_chars: int) -> DataFrame:
     return rows.mapInArrow(runs, "_k1 bigint, _k2 bigint, gone array<int>")
 
 
-def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, rare: int) -> DataFrame:
-    """(_k1, _k2, _rep, _copies, _gone, _chars) of every class of equal texts
-    with something to delete: numbers of the lines that go from its earliest
-    document, which is ``_rep``; later documents of the class go whole."""
-    spark = docs.sparkSession
-    sketch = (_keyed(docs.where(F.col(text_col).isNotNull()), text_col)
-              .select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_rep"), "_k1", "_k2",
-                      _lines(text_col).alias("lines")))
-    classes, classes_path = materialize(
-        sketch.groupBy("_k1", "_k2").agg(F.min("_rep").alias("_rep"), F.count(F.lit(1)).alias("_copies"),
-                                         F.first("lines").alias("lines")), "line-classes")
+def block_windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """(first, last) of the shortest windows of at least ``least`` from each
+    place and up to each place.  Each item of a run of at least ``least`` is in
+    one of them that does not leave the run."""
+    total = list(accumulate(sizes, initial=0))
+    out, stop, start = set(), 0, 0
+    for first in range(len(sizes)):
+        stop = max(stop, first + 1)
+        while stop < len(sizes) and total[stop] - total[first] < least:
+            stop += 1
+        if total[stop] - total[first] < least:
+            break
+        out.add((first, stop - 1))
+    for last in range(len(sizes)):
+        while start < last and total[last + 1] - total[start + 1] >= least:
+            start += 1
+        if total[last + 1] - total[start] >= least:
+            out.add((start, last))
+    return sorted(out)
+
+
+def _windows(classes: DataFrame, min_chars: int) -> DataFrame:
+    """(_rep, _k1, _k2, w1, w2, first, last): every window with its hash, a polynomial of the lines modulo a prime."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = [1]
+
+        def made(batch, rows, found):
+            columns = [batch.column(c).take(pa.array(rows, pa.int32())) for c in ("_rep", "_k1", "_k2")]
+            columns += [pa.array([f[k] for f in found], t) for k, t in enumerate([pa.int64()] * 2 + [pa.int32()] * 2)]
+            return pa.RecordBatch.from_arrays(columns, ["_rep", "_k1", "_k2", "w1", "w2", "first", "last"])
+
+        for batch in batches:
+            lines, rows, found = batch.column("lines"), [], []
+            offsets = lines.offsets.to_pylist()
+            for row, (at, to) in enumerate(zip(offsets, offsets[1:], strict=False)):
+                part = lines.values.slice(at, to - at)
+                sizes = part.field("n").to_pylist()
+                ahead = [0]
+                for h, n in zip(part.field("h").to_pylist(), sizes, strict=True):
+                    ahead.append((ahead[-1] * _BASE + ((h & (1 << 64) - 1) << 32 | n) + 1) % _PRIME)
+                for first, last in block_windows(sizes, min_chars):
+                    while len(powers) <= last + 1 - first:
+                        powers.append(powers[-1] * _BASE % _PRIME)
+                    w = (ahead[last + 1] - ahead[first] * powers[last + 1 - first]) % _PRIME
+                    rows.append(row)
+                    found.append((w & (1 << 63) - 1, w >> 63, first, last))
+                if len(rows) >= WINDOW_ROWS:
+                    yield made(batch, rows, found)
+                    rows, found = [], []
+            yield made(batch, rows, found)
+
+    return classes.select("_rep", "_k1", "_k2", "lines").mapInArrow(
+        cut, "_rep bigint, _k1 bigint, _k2 bigint, w1 bigint, w2 bigint, first int, last int")
+
+
+def _covered(spans: DataFrame) -> DataFrame:
+    """(_k1, _k2, gone) from the spans (first, last) of each document."""
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gone = []
+            for found in batch.column("spans").to_pylist():
+                places, done = [], 0
+                for x in sorted(found, key=lambda x: x["first"]):
+                    places += range(max(done, x["first"]), x["last"] + 1)
+                    done = max(done, x["last"] + 1)
+                gone.append(places)
+            yield pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"),
+                                              pa.array(gone, pa.list_(pa.int32()))], ["_k1", "_k2", "gone"])
+
+    return (spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+            .mapInArrow(union, "_k1 bigint, _k2 bigint, gone array<int>"))
+
+
+def _repeated_windows(classes: DataFrame, min_chars: int) -> tuple[DataFrame, list[str]]:
+    """(_k1, _k2, gone) of the windows that an earlier document has, and the folders they are read from."""
+    windows, windows_path = materialize(_windows(classes, min_chars), "line-windows")
+    holder = F.struct(F.col("_rep").alias("rep"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
+    # Written before it is joined, as AQE cannot split a very common window in the stage of this aggregate.
+    shared, shared_path = materialize(
+        windows.groupBy("w1", "w2").agg(F.min(holder).alias("home"), F.max(holder).alias("_latest"))
+        .where("home <> _latest").select("w1", "w2", "home.k1", "home.k2"), "line-shared")
+    spans = windows.join(shared, ["w1", "w2"]).where("_k1 <> k1 OR _k2 <> k2")
+    return _covered(spans.select("_k1", "_k2", "first", "last")), [windows_path, shared_path]
+
+
+def _paired_repeats(classes: DataFrame, min_chars: int, rare: int) -> tuple[DataFrame, list[str]]:
+    """The same by pairs of documents through their rare lines, and by runs of common lines."""
     lines = classes.select("_rep", "_k1", "_k2", "lines", F.explode(
         F.array_distinct(F.filter("lines", lambda x: x["n"] > 0))).alias("x"))
     lines = lines.select("_rep", "_k1", "_k2", F.col("x.h").alias("h"), F.col("x.n").alias("n"),
@@ -248,18 +332,35 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, ra
     common = (later.where(F.col("df") > rare).groupBy("_k1", "_k2")
               .agg(F.collect_list(F.struct("h", "n", "rep", "k1", "k2", "at")).alias("first"))
               .join(arrays, ["_k1", "_k2"]))
-    gone = (_aligned_blocks(paired, min_chars).union(_common_runs(common, min_chars)).where(F.size("gone") > 0)
-            .groupBy("_k1", "_k2").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("_gone")))
+    return (_aligned_blocks(paired, min_chars).union(_common_runs(common, min_chars)).where(F.size("gone") > 0)
+            .groupBy("_k1", "_k2").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")),
+            [shared_path, later_path])
+
+
+def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, rare: int | None = None) -> DataFrame:
+    """(_k1, _k2, _rep, _copies, _gone, _chars) of every class of equal texts
+    with something to delete: numbers of the lines that go from its earliest
+    document, which is ``_rep``; later documents of the class go whole."""
+    spark = docs.sparkSession
+    sketch = (_keyed(docs.where(F.col(text_col).isNotNull()), text_col)
+              .select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_rep"), "_k1", "_k2",
+                      _lines(text_col).alias("lines")))
+    classes, classes_path = materialize(
+        sketch.groupBy("_k1", "_k2").agg(F.min("_rep").alias("_rep"), F.count(F.lit(1)).alias("_copies"),
+                                         F.first("lines").alias("lines")), "line-classes")
+    found, paths = (_repeated_windows(classes, min_chars) if rare is None
+                    else _paired_repeats(classes, min_chars, rare))
+    gone = found.withColumnRenamed("gone", "_gone")
     chars = F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["n"])
     plan, _ = materialize(
         classes.select("_k1", "_k2", "_rep", "_copies", chars.alias("_chars")).join(gone, ["_k1", "_k2"], "left")
         .where("_copies > 1 OR _gone IS NOT NULL"), "line-plan")
-    drop_table(spark, classes_path, shared_path, later_path)
+    drop_table(spark, classes_path, *paths)
     return plan
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-                rare: int = RARE) -> DataFrame:
+                rare: int | None = None) -> DataFrame:
     """``docs`` with the repeated blocks deleted from ``text_col``, and
     ``removed_lines`` and ``removed_chars`` (0 where nothing went)."""
     plan = find_repeats(docs, id_col, text_col, min_chars, rare)

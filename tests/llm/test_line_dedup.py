@@ -121,3 +121,42 @@ def test_repeated_and_moved_passages(spark):
             got = line_dedup.patience_matches(a, b, *more)
             assert all(a[i] == b[j] for i, j in got)
             assert set(line_dedup.heavy_blocks(got, weights, 40)) == common_blocks(a, b, weights, 40)
+
+
+def all_blocks(rows, min_chars=line_dedup.MIN_CHARS):
+    """Every heavy run of lines against every earlier text, by plain loops."""
+    first = {}
+    for i, t in rows:
+        first[t] = min(i, first.get(t, i))
+    cut = {t: [x.strip(" ") for x in t.split("\n")] for t in first}
+    out = []
+    for i, t in rows:
+        size = [len(x) for x in cut[t]]
+        gone = set().union(*(common_blocks(cut[e], cut[t], size, min_chars) for e in first if first[e] < first[t]))
+        if i != first[t] and sum(size) >= min_chars:
+            gone = set(range(len(size)))
+        out.append((i, "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone), len(gone)))
+    return sorted(out, key=str)
+
+
+def test_block_whose_lines_have_other_earliest_holders(spark):
+    a, b = "first line of the block, 30 ch", "second line of it, under forty"
+    texts = [f"{a}\nx", f"y\n{b}", f"own\n{a}\n{b}", f"{a}\n{b}\nrest"]
+    for more in (0, 20):                                 # rare and common lines
+        rows = list(enumerate(texts[:2] + [f"{k}\n{a}\nz\n{b}" for k in range(more)] + texts[2:]))
+        assert ("rest", 2) in [r[1:] for r in run(spark, rows)]
+
+
+def test_every_block_against_every_earlier_text(spark):
+    rng = random.Random(8)
+    pool = [" " * (k % 2) + f"{k} " + "w" * rng.randint(0, 45) for k in range(25)] + ["", "", ""]
+    rows = []
+    for _ in range(90):
+        text = []
+        for _ in range(rng.randint(1, 5)):
+            k = rng.randrange(len(pool))
+            text += pool[k:k + rng.randint(1, 5)] + [f"own {rng.random()}"] * rng.randrange(2)
+        rows.append((len(rows), "\n".join(text)))
+    rows += [(200 + k, rows[k][1]) for k in range(4)]
+    assert run(spark, rows) == all_blocks(rows)
+    assert run(spark, rows, min_chars=90) == all_blocks(rows, 90)
