@@ -171,13 +171,19 @@ class TrainResult:
 
 
 def train_models(train_df: DataFrame, test_df: DataFrame, features: list[str], label: str,
-                 names: list[str] | None = None, params: dict | None = None) -> list[TrainResult]:
+                 names: list[str] | None = None, params: dict | None = None,
+                 validation_df: DataFrame | None = None) -> list[TrainResult]:
     """Fit each registered model on ``train_df`` and compute the regression
-    metrics on ``test_df``."""
+    metrics on ``test_df``; with ``validation_df``, boosted trees are cut back
+    to their best round on it."""
     from parcelkit.operators.metrics import regression_metrics
     out = []
     for n in names or ["random_forest", "gbt"]:
-        m = train(train_df, features, label, n, **(params or {}).get(n, {}))
+        given = (params or {}).get(n, {})
+        if n == "gbt" and validation_df is not None:
+            m, _ = train_with_patience(train_df, validation_df, features, label, **given)
+        else:
+            m = train(train_df, features, label, n, **given)
         metrics = regression_metrics(m.transform(test_df), label, "prediction").withColumn("model", F.lit(n))
         out.append(TrainResult(n, m, metrics))
     return out

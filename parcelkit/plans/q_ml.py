@@ -196,19 +196,28 @@ def _features(df):
     return [c for c in df.columns if c not in KEY + [Y, "split", "OWN_OCC"]]
 
 
+def _forest(d):
+    """The declared forest, fitted on the train split."""
+    return ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest", **ML.TRAINING_CONFIGS["random_forest"])
+
+
+def _held_out(d):
+    """The train split without its last fifth, and that fifth: the validation rows."""
+    parts = R.holdout_tail(d.where("split = 'train'"), [F.col(c) for c in KEY], 0.2, "part")
+    return tuple(cut_lineage(parts.where(F.col("part") == F.lit(p)).drop("part")) for p in ("train", "validation"))
+
+
 @register("rf_score")
 def q_rf_score(spark, sf):
     d = _ml_frame(spark, sf)
-    m = ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest")
+    m = _forest(d)
     return rounded(m.transform(d.where("split = 'test'")).select(*KEY, Y, "prediction"))
 
 
 @register("gbt_score")
 def q_gbt_score(spark, sf):
     d = _ml_frame(spark, sf)
-    train = R.holdout_tail(d.where("split = 'train'"), [F.col(c) for c in KEY], 0.2, "part")
-    train = train.withColumn("is_validation", F.col("part") == "validation")
-    m = ML.train_with_early_stopping(train, _features(d), Y, "is_validation")
+    m, _ = ML.train_with_patience(*_held_out(d), _features(d), Y, **ML.TRAINING_CONFIGS["gbt"])
     return rounded(m.transform(d.where("split = 'test'")).select(*KEY, Y, "prediction"))
 
 
@@ -216,9 +225,7 @@ def q_gbt_score(spark, sf):
 def q_random_search(spark, sf):
     d = _ml_frame(spark, sf).where("split = 'train'")
     _, table = ML.random_search(d, _features(d), Y, "random_forest", n_iter=2, folds=2,
-                                base=ML.MODEL_DEFAULTS["random_forest"],
-                                space={"maxDepth": [5, 10], "minInstancesPerNode": [1, 2, 4],
-                                       "featureSubsetStrategy": ["sqrt", "all"]})
+                                base=ML.TRAINING_CONFIGS["random_forest"], space=ML.RF_SEARCH)
     return rounded(table)
 
 
@@ -226,14 +233,20 @@ def q_random_search(spark, sf):
 def q_feature_importance(spark, sf):
     d = _ml_frame(spark, sf)
     feats = _features(d)
-    m = ML.train(d.where("split = 'train'"), feats, Y, "random_forest")
+    m = _forest(d)
     return rounded(R.top_k(ML.feature_importance(spark, m, feats), "importance", 10, tiebreak=["feature"]))
 
 
+def _trained(d):
+    train, validation = _held_out(d)
+    return ML.train_models(train, d.where("split = 'test'"), _features(d), Y, params=ML.TRAINING_CONFIGS,
+                           validation_df=validation)
+
+
 @register("train_models")
 def q_train_models(spark, sf):
     d = _ml_frame(spark, sf)
-    res = ML.train_models(d.where("split = 'train'"), d.where("split = 'test'"), _features(d), Y)
+    res = _trained(d)
     table = res[0].metrics
     for r in res[1:]:
         table = table.unionByName(r.metrics)
@@ -246,18 +259,18 @@ def q_run_log(spark, sf):
     model appended to a Parquet log, read back."""
     from parcelkit.sources.files import log_run
     d = _ml_frame(spark, sf)
-    res = ML.train_models(d.where("split = 'train'"), d.where("split = 'test'"), _features(d), Y)
+    res = _trained(d)
     path = scratch_path(spark, "run-log")
     for r in res:
         metrics = r.metrics.drop("model").first().asDict()          # one aggregated row
-        log_run(spark, path, "run-1", r.name, metrics, ML.MODEL_DEFAULTS[r.name])
+        log_run(spark, path, "run-1", r.name, metrics, ML.TRAINING_CONFIGS[r.name])
     return spark.read.parquet(path).drop("ts")
 
 
 @register("validation_gate")
 def q_validation_gate(spark, sf):
     d = _ml_frame(spark, sf)
-    m = ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest")
+    m = _forest(d)
     pred = m.transform(d.where("split = 'test'"))
     t = M.threshold_table(M.to_long(M.validation_metrics(pred, Y, "prediction")))
     return rounded(t.withColumn("validation_passed", M.gate(t).select("validation_passed").scalar()))
@@ -267,7 +280,7 @@ def q_validation_gate(spark, sf):
 def q_permutation_importance(spark, sf):
     d = _ml_frame(spark, sf)
     feats = _features(d)
-    m = ML.train(d.where("split = 'train'"), feats, Y, "random_forest")
+    m = _forest(d)
     test = d.where("split = 'test'")
     pi = permutation_importance(m, test, feats, Y, KEY, assemble=lambda x: x)
     return rounded(pi)
@@ -276,7 +289,7 @@ def q_permutation_importance(spark, sf):
 @register("batch_score")
 def q_batch_score(spark, sf):
     d = _ml_frame(spark, sf)
-    m = ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest")
+    m = _forest(d)
     path = scratch_path(spark, "model")
     ML.save_model(m, path)
     loaded = ML.load_model(path)
@@ -287,7 +300,7 @@ def q_batch_score(spark, sf):
 def q_residual_summary(spark, sf):
     from parcelkit.functions.stats import exact_quantiles
     d = _ml_frame(spark, sf)
-    m = ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest")
+    m = _forest(d)
     res = m.transform(d.where("split = 'test'")).select((F.col(Y) - F.col("prediction")).alias("residual"))
     return rounded(exact_quantiles(res, [], "residual", [0.1, 0.25, 0.5, 0.75, 0.9]))
 

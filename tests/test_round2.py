@@ -179,3 +179,48 @@ def test_no_machine_local_scratch_on_a_cluster():
         conf = Conf()
     with pytest.raises(ValueError):
         session.checkpoint_root(Cluster())
+
+
+def test_registered_training_queries_run_the_declared_settings(spark, monkeypatch):
+    """Each query up to its first fits, of which only the arguments are looked at."""
+    from parcelkit.plans import q_ml
+    calls = []
+
+    class Stop(Exception):
+        pass
+
+    def fit(df, features, label, name="random_forest", **params):
+        calls.append((name, params))
+        if name == "gbt" or queried == "rf":
+            raise Stop
+        return type("Model", (), {"transform": lambda self, x: x.withColumn("prediction", x[label])})()
+
+    def search(*args, space=None, **kw):
+        calls.append(("space", space))
+        raise Stop
+
+    frame = spark.createDataFrame([(i, 1, 1, 1, 1.0, float(i), float(i), i % 2, "test" if i % 5 == 0 else "train")
+                                   for i in range(40)], [*q_ml.KEY, q_ml.Y, "x", "OWN_OCC", "split"])
+    monkeypatch.setattr(q_ml, "_ml_frame", lambda spark, sf: frame)
+    monkeypatch.setattr(ML, "train", fit)
+    monkeypatch.setattr(ML, "random_search", search)
+    forest, boosted = (("random_forest", ML.TRAINING_CONFIGS["random_forest"]), ("gbt", ML.TRAINING_CONFIGS["gbt"]))
+    for query, queried, expected in (
+            (q_ml.q_rf_score, "rf", [forest]), (q_ml.q_gbt_score, "", [boosted]), (q_ml.q_train_models, "", [forest, boosted]),
+            (q_ml.q_run_log, "", [forest, boosted]), (q_ml.q_random_search, "", [("space", ML.RF_SEARCH)]),
+            (q_ml.q_feature_importance, "rf", [forest]), (q_ml.q_batch_score, "rf", [forest])):
+        calls.clear()
+        try:
+            query(spark, None)
+        except Stop:
+            pass
+        assert calls == expected, query.__name__
+
+
+def test_train_models_cuts_boosting_back_to_its_best_round(spark):
+    rows = spark.createDataFrame([(float(i % 7), float(i % 7 * 10 + (i * 37) % 11), i % 3) for i in range(120)], "x double, y double, p int")
+    train, validation, test = (rows.where(f"p = {k}") for k in range(3))
+    params = {"gbt": {"maxIter": 6, "stepSize": 0.9, "maxDepth": 2}}
+    res = ML.train_models(train, test, ["x"], "y", ["gbt"], params, validation)
+    _, errors = ML.train_with_patience(train, validation, ["x"], "y", **params["gbt"])
+    assert res[0].model.stages[-1].getNumTrees == ML.best_round(errors) < 6
