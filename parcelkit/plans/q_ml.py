@@ -308,27 +308,32 @@ def q_residual_summary(spark, sf):
 @register("mitigate")
 def q_mitigate(spark, sf):
     d = _ml_frame(spark, sf)
-    res = PL.mitigate(d, _features(d), Y, "OWN_OCC", KEY, name="linear", grid_size=3)
+    res = PL.mitigate(d, _features(d), Y, "OWN_OCC", KEY, name="linear")
     return rounded(res.candidates)
 
 
 @register("bias_mitigation_rounds")
 def q_bias_mitigation_rounds(spark, sf):
     """Evaluate -> mitigate significant features -> re-evaluate (M7)."""
-    reports, _ = PL.evaluate_and_mitigate(_gap_frame(spark, sf), _GAP_FEATURES, Y, {"OWN_OCC": "OWN_OCC", "GROUP_2": "GROUP_2"},
-                                          KEY, rounds=1, name="linear", grid_size=2)
+    d = _gap_frame(spark, sf)
+    reports, _ = PL.evaluate_and_mitigate(d, _gap_features(d), Y, _GROUPS, KEY, name="linear")
     return rounded(reports)
 
 
-# One group's values are 40 % higher, and the features do not say which group a row is in.
-_GAP_FEATURES = ["GROSS_AREA", "LIVING_AREA", "TT_RMS"]
+_GROUPS = {"OWN_OCC": "OWN_OCC", "GROUP_2": "GROUP_2"}
 
 
 def _gap_frame(spark, sf):
-    a = b.assess(spark, sf).select(*KEY, "OWN_OCC", *_GAP_FEATURES, Y)
+    """One group's values are 40 % higher, and the features do not say which group a row is in."""
+    a = b.with_indicators(b.assess(spark, sf))
+    mf = FE.model_features(a, AS_OF, keep=KEY + [Y, "OWN_OCC"])
     second = F.pmod(F.col("l_suppkey"), F.lit(2)).cast("bigint")
     gap = F.when(F.col("OWN_OCC") == 1, 1.4).otherwise(1.0)
-    return cut_lineage(a.withColumn("GROUP_2", second).withColumn(Y, F.col(Y) * gap))
+    return cut_lineage(mf.withColumn("GROUP_2", second).withColumn(Y, F.col(Y) * gap))
+
+
+def _gap_features(df):
+    return [c for c in _features(df) if c != "GROUP_2"]
 
 
 @register("mitigated_predictions", with_ctes(f"""
@@ -338,9 +343,8 @@ def q_mitigated_predictions(spark, sf):
     """Every row's mitigated prediction; ``gap_not_wider``: the groups' mean
     predictions are no farther apart, against the truth, than those of the plain model."""
     d = _gap_frame(spark, sf)
-    _, out = PL.evaluate_and_mitigate(d, _GAP_FEATURES, Y, {"OWN_OCC": "OWN_OCC", "GROUP_2": "GROUP_2"}, KEY, rounds=1,
-                                      name="linear", grid_size=2)
-    plain = ML.train(d, _GAP_FEATURES, Y, "linear").transform(d)
+    _, out = PL.evaluate_and_mitigate(d, _gap_features(d), Y, _GROUPS, KEY, name="linear")
+    plain = ML.train(d, _gap_features(d), Y, "linear").transform(d)
 
     def gap(df):
         bias = F.col("prediction") - F.col(Y)

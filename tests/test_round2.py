@@ -224,3 +224,22 @@ def test_train_models_cuts_boosting_back_to_its_best_round(spark):
     res = ML.train_models(train, test, ["x"], "y", ["gbt"], params, validation)
     _, errors = ML.train_with_patience(train, validation, ["x"], "y", **params["gbt"])
     assert res[0].model.stages[-1].getNumTrees == ML.best_round(errors) < 6
+
+
+def test_mitigation_queries_run_the_whole_grid_and_rounds(spark, monkeypatch):
+    from parcelkit.plans import pipeline as PL
+    from parcelkit.plans import q_ml
+    calls = []
+
+    def rounds(df, features, label, sensitive, key, rounds=3, **kw):
+        calls.append((rounds, kw.get("grid_size"), len(features)))
+        raise ValueError
+
+    monkeypatch.setattr(PL, "evaluate_and_mitigate", rounds)
+    for query in (q_ml.q_bias_mitigation_rounds, q_ml.q_mitigated_predictions):
+        with pytest.raises(ValueError):
+            query(spark, SF_SMALL)
+    assert [c[:2] for c in calls] == [(3, None)] * 2 and all(c[2] > 3 for c in calls)
+    rows = [(i, i % 2, float(i), float(i + (1 if i % 2 == 0 else far))) for far in (1, 2) for i in range(10)]
+    near, far = (spark.createDataFrame(part, "k int, g int, y double, prediction double") for part in (rows[:10], rows[10:]))
+    assert PL.constraint_grid(near, "y", "g") == (-4, -1, 10) and PL.constraint_grid(far, "y", "g") == (-3, -1, 15)
