@@ -44,7 +44,7 @@ def features(chain: list[Block]) -> list[list[int]]:
     out = []
     for k, b in enumerate(chain):
         words = b.text.count(" ") + 1
-        letters = sum(map(str.isalpha, b.text[:400])) / min(len(b.text), 400)
+        letters = sum(map(str.isalpha, b.text)) / len(b.text)
         names = [f"around {a}" for a in b.around]
         names += [f"inner {b.inner}", f"depth {min(b.depth, 9)}", f"words {min(words, 256).bit_length()}",
                   f"links {4 * b.link_chars // len(b.text)}", f"letters {int(4 * letters)}",

@@ -182,3 +182,10 @@ def test_pipeline_with_odd_rows(spark):
     near = corpus_pipeline.keep_one_of_near_copies(spark, docs, SMALL)
     assert sorted((str(r.doc_id), str(r.text)) for r in near.collect()) == [
         ("5", "x"), ("6", "None"), ("None", "The same text again and again, the same.")]
+
+
+def test_letter_share_is_of_the_whole_block():
+    from parcelkit.llm.html_blocks import Block
+    first, last = "1" * 400 + "a" * 1200 + ".", "a" * 1200 + "1" * 400 + "."
+    one, other = (html_extract.features([Block(t, frozenset(), "p", 0, 3)]) for t in (first, last))
+    assert one == other
