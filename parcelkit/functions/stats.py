@@ -144,9 +144,15 @@ def _ranked(rows: DataFrame, g: list[str], probs: list[float], names: list[str])
         passed = passed + (x > high).cast("int")
     counted = (rows.select(*g, F.when(inside, x).alias("_v"), F.when(~inside, passed).alias("_gap"), "_x")
                .groupBy(*g, "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_first")))
-    upto = Window.partitionBy(*g).orderBy("_first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counted.withColumn("_hi", F.sum("_c").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_c"))
-              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
+    # Positions within range partitions, and their offsets (one row per partition and group): no task gets a whole group.
+    ranged = cut_lineage(counted.repartitionByRange(*g, "_first").withColumn("_pid", F.spark_partition_id()))
+    ahead = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_cnt"))
+               .select("_pid", *g, F.coalesce(F.sum("_cnt").over(ahead), F.lit(0)).alias("_off"),
+                       F.sum("_cnt").over(Window.partitionBy(*g)).alias("_n")))
+    upto = Window.partitionBy("_pid", *g).orderBy("_first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (ranged.withColumn("_at", F.sum("_c").over(upto)).join(offsets, ["_pid", *g])
+              .withColumn("_hi", F.col("_off") + F.col("_at")).withColumn("_lo", F.col("_hi") - F.col("_c")))
     aggs, outs, missed = [F.max("_n").alias("_n")], [], F.lit(False)
     for k, p in enumerate(probs):
         at = (F.col("_n") - 1) * F.lit(float(p))

@@ -33,3 +33,16 @@ def test_global_index_consecutive(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(9)
     out = global_index(df, [F.col("k")], "pos", num_partitions=6).orderBy("k").collect()
     assert [r["pos"] for r in out] == list(range(1, 5001))
+
+
+def test_quantile_ranks_are_not_counted_in_one_task_per_group(spark):
+    from parcelkit.functions import stats
+    rows = spark.range(20000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 20011).cast("double").alias("_x"))
+    whole = rows.withColumn("_b", F.array(*[F.lit(float(s + "inf")) for _ in (1, 2) for s in ("-", "")]))
+    ranked = stats._ranked(whole, ["g"], [0.25, 0.9], ["a", "b"])
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    ordered = [line for line in plan.splitlines() if "Window" in line and "_first" in line]
+    assert ordered and all("_pid" in line for line in ordered)
+    for r in ranked.collect():
+        x = np.array([v._x for v in rows.where(F.col("g") == r.g).collect()])
+        assert np.allclose([r.a, r.b], np.quantile(x, [0.25, 0.9])) and not r._missed
