@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import (byte_bpe, decontaminate, ego_join, html_extract, line_dedup, probminhash, quality, sharding,
+from parcelkit.llm import (byte_bpe, decontaminate, ego_join, html_extract, line_dedup, merkle, probminhash, quality, sharding,
                            token_counts, warc)
 from parcelkit.llm.common import ship_package
 
@@ -99,3 +99,76 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+# CRC-32 in SQL: the table of the 256 byte values, and a fold of a text's bytes over it.
+_CRC_SQL = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)), CAST(i AS BIGINT)) AS c
+    FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a text, where a column ``t`` of crc_table is in scope."""
+    codes = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(concat(" + ", ".join(map(_field_sql, ["doc_id", "source", "lang", "n_chars", text])) + "))"
+
+
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@register("op11_merkle", sql=f"""
+WITH RECURSIVE {_CRC_SQL},
+leaves AS (
+  SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+    CASE WHEN {_crc_sql('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_leaf_sql(_LOWER_SQL)} ELSE {_leaf_sql('text')} END AS now
+  FROM documents, crc_table),
+ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+below AS (
+  SELECT 0 AS lv, s, r, n, leaf AS d FROM ranked
+  UNION ALL
+  SELECT lv + 1, s, r // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY r)) FROM below WHERE n > 1
+  GROUP BY lv, s, r // 16, n),
+subroots AS (SELECT s, lv AS height, d, count(*) OVER () AS n FROM below WHERE n = 1),
+above AS (
+  SELECT 0 AS lv, s AS r, n, d FROM subroots
+  UNION ALL
+  SELECT lv + 1, r // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY r)) FROM above WHERE n > 1 GROUP BY lv, r // 16, n),
+places AS (
+  SELECT s AS ps, r AS pr, k.lv, r // CAST(16 ** k.lv AS BIGINT) AS place, false AS up
+  FROM ranked JOIN (SELECT s AS hs, unnest(range(height)) AS lv FROM subroots) k ON k.hs = s
+  UNION ALL
+  SELECT s, r, k.lv, s // CAST(16 ** k.lv AS BIGINT), true
+  FROM ranked, (SELECT unnest(range(max(lv))) AS lv FROM above) k),
+nodes AS (SELECT lv, s, r, d, false AS up FROM below UNION ALL SELECT lv, NULL, r, d, true FROM above),
+steps AS (
+  SELECT ps, pr, up, lv, row_number() OVER (PARTITION BY ps, pr ORDER BY up, lv) AS step, lhs, rhs
+  FROM (SELECT ps, pr, p.up, p.lv, coalesce(string_agg(d, '' ORDER BY r) FILTER (WHERE r < place), '') AS lhs,
+          coalesce(string_agg(d, '' ORDER BY r) FILTER (WHERE r > place), '') AS rhs
+        FROM places p JOIN nodes n ON n.up = p.up AND n.lv = p.lv AND n.r // 16 = place // 16 AND (p.up OR n.s = ps)
+        GROUP BY ps, pr, p.up, p.lv)),
+folded AS (
+  SELECT s, r, 0::BIGINT AS step, now AS d FROM ranked
+  UNION ALL
+  SELECT s, r, f.step + 1, sha256(concat(lhs, d, rhs)) FROM folded f JOIN steps t ON ps = s AND pr = r AND t.step = f.step + 1),
+proofs AS (SELECT ps, pr, sha256(string_agg(lhs || rhs, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY ps, pr),
+total AS (SELECT d AS root FROM above WHERE n = 1),
+ends AS (SELECT s AS es, r AS er, arg_max(d, step) AS folded_root FROM folded GROUP BY s, r)
+SELECT doc_id, leaf, b.d AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM ranked k JOIN subroots b ON b.s = k.s JOIN ends ON es = k.s AND er = k.r
+LEFT JOIN proofs ON ps = k.s AND pr = k.r, total""")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
