@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelkit.llm import (byte_bpe, decontaminate, ego_join, html_extract, line_dedup, merkle, probminhash, quality, sharding,
-                           token_counts, warc)
+                           spelling, token_counts, warc)
 from parcelkit.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,35 @@ FROM ranked k JOIN subroots b ON b.s = k.s JOIN ends ON es = k.s AND er = k.r
 LEFT JOIN proofs ON ps = k.s AND pr = k.r, total""")
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op12_spelling", sql=f"""
+WITH RECURSIVE {_CRC_SQL},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+summed AS (SELECT run, n, {_crc_sql("doc_id || ':' || run")} AS h FROM runs, crc_table),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+              ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM summed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+holes AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT w.word, h.word, h.n FROM words w JOIN holes h ON h.rest = w.word
+  UNION SELECT h.word, w.word, w.n FROM words w JOIN holes h ON h.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, min(other) FILTER (WHERE other_n = top) AS first
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN first END AS form,
+    CASE WHEN most >= 2 * n THEN most END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+ways AS (
+  SELECT word, word AS place, form AS ahead FROM formed
+  UNION ALL SELECT y.word, f.word, f.form FROM ways y JOIN formed f ON f.word = y.ahead)
+SELECT f.word, n, n_near, form, form_n, place AS root FROM formed f JOIN ways y ON y.word = f.word AND y.ahead IS NULL""")
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
