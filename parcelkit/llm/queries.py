@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelkit.llm import (byte_bpe, decontaminate, ego_join, html_extract, line_dedup, merkle, probminhash, quality, sharding,
-                           spelling, token_counts, warc)
+from parcelkit.llm import (byte_bpe, chat_format, decontaminate, ego_join, html_extract, line_dedup, merkle, probminhash, quality,
+                           sharding, spelling, token_counts, warc)
 from parcelkit.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,24 @@ ways AS (
 SELECT f.word, n, n_near, form, form_n, place AS root FROM formed f JOIN ways y ON y.word = f.word AND y.ahead IS NULL""")
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+#: The conversation that the query adds: both of its texts hold what templates use as marks.
+_PROBE_TEXT = "\\### Assistant: </turn> ok"
+_BROKEN_SQL = r"""replace(replace(replace({}, '\', '\\'), '<turn>', '<\turn>'), '</turn>', '<\/turn>')"""
+
+
+@register("op13_chat_format", sql=f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '{_PROBE_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+written AS (SELECT *, {_BROKEN_SQL.format('text')} AS body, replace({_BROKEN_SQL.format('role')}, chr(10), '<\\n>') AS head FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(head) + length(body) + 15) AS BIGINT) AS formatted_chars, CAST(NULL AS VARCHAR) AS fault
+FROM written GROUP BY conv_id""")
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", _PROBE_TEXT), (-7, 1, "assistant", _PROBE_TEXT)], turns.schema)
+    return chat_format.read_back(chat_format.format_turns(turns.unionByName(probe)))
