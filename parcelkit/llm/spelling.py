@@ -59,28 +59,31 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n): the words of whole texts with their number of occurrences."""
     runs = docs.select(F.col(id_col).alias("_id"), F.explode(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))).alias("_run"))
-    runs = runs.where(F.length("_run") >= min_chars)
-    words = runs.withColumn("_run", F.translate("_run", _UPPER, _UPPER.lower()))
-    words = words.select(dropped(F.col("_id"), F.col("_run")).alias("word")).where(F.length("word") >= min_chars)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    runs = runs.where(F.length("_run") >= min_chars).withColumn("_run", F.translate("_run", _UPPER, _UPPER.lower()))
+    counted = runs.groupBy(dropped(F.col("_id"), F.col("_run")).alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where((F.col("n") >= min_count) & (F.length("word") >= min_chars))
 
 
-def _part_hashes(word: Column, parts: int) -> Column:
-    """Per part, the exclusive-or of the hashes of the word's components in it."""
-    letters = F.array_sort(F.filter(F.split(word, ""), lambda c: c != ""))
-    components = F.transform(letters, lambda c, i: F.struct(
-        F.xxhash64(c, i - F.array_position(letters, c)).alias("hash"),
-        F.pmod(F.xxhash64(F.lit("part"), c, i - F.array_position(letters, c)), F.lit(parts)).alias("part")))
-    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda p: F.aggregate(
-        F.filter(components, lambda c: c["part"] == p), F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(c["hash"])))
+def _part_hashes(letters: str, parts: int) -> Column:
+    """Per part, the exclusive-or of the hashes of the components in it, from the column of sorted letters."""
+    components = F.transform(letters, lambda c, i: F.struct(c.alias("c"), (i - F.array_position(letters, c)).alias("no")))
+    hashed = F.transform(components, lambda x: F.struct(
+        F.xxhash64(x["c"], x["no"]).alias("hash"), F.pmod(F.xxhash64(F.lit("part"), x["c"], x["no"]), F.lit(parts)).alias("part")))
+    nothing = F.array_repeat(F.lit(0).cast("long"), parts)
+    return F.aggregate(hashed, nothing, lambda acc, x: F.transform(
+        acc, lambda h, p: F.when(p == x["part"], h.bitwiseXOR(x["hash"])).otherwise(h)))
 
 
-def signatures(words: DataFrame, parts: int = PARTS) -> DataFrame:
-    """(signature, role, word): role 0 for pairs of equal length, 1 and 2 for the shorter and the longer word of a
-    pair of lengths one apart.  The signature holds the parts left out, the (longer) length and what is kept."""
-    hashed = words.select("word", F.length("word").alias("size"), _part_hashes(F.col("word"), parts).alias("part"))
-    hashed = hashed.withColumn("all", F.aggregate("part", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h)))
+def vectors(words: DataFrame, parts: int = PARTS) -> DataFrame:
+    """(word, size, part, all): the hash of each part of the word's vector, and of all of it."""
+    letters = words.select("word", F.array_sort(F.filter(F.split("word", ""), lambda c: c != "")).alias("letters"))
+    hashed = letters.select("word", F.size("letters").alias("size"), _part_hashes("letters", parts).alias("part"))
+    return hashed.withColumn("all", F.aggregate("part", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h)))
 
+
+def signatures(hashed: DataFrame, parts: int = PARTS) -> DataFrame:
+    """(signature, role, word) of ``vectors``: role 0 for pairs of equal length, 1 and 2 for the shorter and the longer
+    word of a pair of lengths one apart.  The signature holds the parts left out, the (longer) length and what is kept."""
     def signature(left_out: tuple[int, ...], size: Column) -> Column:
         kept = F.col("all")
         for p in left_out:
@@ -95,15 +98,18 @@ def signatures(words: DataFrame, parts: int = PARTS) -> DataFrame:
     return hashed.select("word", F.explode(F.array(*made)).alias("s")).select("s.signature", "s.role", "word")
 
 
-def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
-    """(a, b): every pair of words exactly one edit apart, once."""
-    signed = signatures(words, parts)
-    a = signed.select("signature", F.col("role").alias("role_a"), F.col("word").alias("a"))
-    b = signed.select("signature", F.col("role").alias("role_b"), F.col("word").alias("b"))
-    roles = ((F.col("role_a") == 0) & (F.col("role_b") == 0) & (F.col("a") < F.col("b"))) | (
-        (F.col("role_a") == 1) & (F.col("role_b") == 2))
-    met = a.join(b, (a["signature"] == b["signature"]) & roles & (F.levenshtein("a", "b", 1) == 1))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def near_pairs(words: DataFrame, parts: int = PARTS) -> tuple[DataFrame, str]:
+    """(a, b): every pair of words exactly one edit apart, once; also the folder of vectors that the frame reads.
+
+    The roles are compared as one number, so that no filter on them parts the two sides of the join and both read one
+    exchange.  Signatures of role 0 and of the others never meet, as they name the parts left out."""
+    hashed, path = materialize(vectors(words, parts), "spelling-vectors")
+    signed = signatures(hashed, parts)
+    a, b = signed.alias("a"), signed.alias("b")
+    roles = (F.col("a.role") + 3 * F.col("b.role")).isin(0, 1 + 3 * 2) & ((F.col("a.role") == 1) | (F.col("a.word") < F.col("b.word")))
+    # A file of vectors is small beside its signatures: a merge join, whatever Spark takes the size to be.
+    met = a.join(b.hint("merge"), (F.col("a.signature") == F.col("b.signature")) & roles & (F.levenshtein("a.word", "b.word", 1) == 1))
+    return met.select(F.least("a.word", "b.word").alias("a"), F.greatest("a.word", "b.word").alias("b")).distinct(), path
 
 
 def _with_roots(forms: DataFrame) -> tuple[DataFrame, str]:
@@ -129,7 +135,9 @@ def spelling_forms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     following forms ends."""
     spark = docs.sparkSession
     words, words_path = materialize(count_words(docs, id_col, text_col), "spelling-words")
-    pairs, pairs_path = materialize(near_pairs(words, parts), "spelling-pairs")
+    near, vectors_path = near_pairs(words, parts)
+    pairs, pairs_path = materialize(near, "spelling-pairs")
+    drop_table(spark, vectors_path)
     links = pairs.union(pairs.select("b", "a")).toDF("word", "near")
     counted = links.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     # The least of (-n, word) is the most frequent near word, and of those the first in code point order.
