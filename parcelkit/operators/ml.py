@@ -15,11 +15,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelkit.session import cut_lineage
+
 # Registry defaults and search spaces.
 MODEL_DEFAULTS = {
     "random_forest": {"numTrees": 5, "seed": 42},
@@ -93,18 +95,37 @@ def best_round(errors: list[float], patience: int = ROUNDS_WITHOUT_GAIN) -> int:
     return best + 1
 
 
+def cut_back(model: PipelineModel, rounds: int) -> PipelineModel:
+    """A pipeline whose boosted model keeps its first ``rounds`` trees (no second fit)."""
+    gbt = model.stages[-1]
+    java = gbt._java_obj
+    jvm, gateway = SparkSession.active().sparkContext._jvm, SparkSession.active().sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:rounds], gbt.treeWeights[:rounds])):
+        trees[i], weights[i] = tree, float(weight)
+    kept = jvm.org.apache.spark.ml.regression.GBTRegressionModel(gbt.uid, trees, weights, gbt.numFeatures)
+    return PipelineModel([*model.stages[:-1], GBTRegressionModel(java.copyValues(kept, java.extractParamMap()))])
+
+
 def train_with_patience(train_df: DataFrame, validation_df: DataFrame, features: list[str], label: str,
                         patience: int = ROUNDS_WITHOUT_GAIN, **params) -> tuple[PipelineModel, list[float]]:
-    """Boosted trees cut back to the best round by validation error (squared
-    error of each round, one pass); returns the model and those errors.  The
-    shorter model is fitted again with the same seed, so its rounds are the
-    first rounds of the longer one."""
-    full = train(train_df, features, label, "gbt", **params)
-    errors = [float(e) for e in full.stages[-1].evaluateEachIteration(full.stages[0].transform(validation_df), "squared")]
-    rounds = best_round(errors, patience)
-    if rounds == len(errors):
-        return full, errors
-    return train(train_df, features, label, "gbt", **{**params, "maxIter": rounds}), errors
+    """Boosted trees that stop after ``patience`` rounds without gain in the squared validation error, cut back to the
+    best round; returns the model and the error of every round that was run.
+
+    The rounds run in blocks that double, from just over ``patience`` to maxIter.  With the same seed the rounds of a
+    shorter fit are the first rounds of a longer one, so the result is that of the full run cut back, for at most twice
+    the rounds that the stop needs; the errors of a block are one pass."""
+    most = params.get("maxIter", MODEL_DEFAULTS["gbt"]["maxIter"])
+    block = min(most, patience + 1)
+    while True:
+        model = train(train_df, features, label, "gbt", **{**params, "maxIter": block})
+        scored = model.stages[0].transform(validation_df)
+        errors = [float(e) for e in model.stages[-1].evaluateEachIteration(scored, "squared")]
+        rounds = best_round(errors, patience)
+        if rounds + patience <= len(errors) or block == most:
+            return (model if rounds == len(errors) else cut_back(model, rounds)), errors
+        block = min(most, 2 * block)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
@@ -172,18 +193,22 @@ class TrainResult:
 
 def train_models(train_df: DataFrame, test_df: DataFrame, features: list[str], label: str,
                  names: list[str] | None = None, params: dict | None = None,
-                 validation_df: DataFrame | None = None) -> list[TrainResult]:
+                 validation_df: DataFrame | None = None, fitted: dict | None = None) -> list[TrainResult]:
     """Fit each registered model on ``train_df`` and compute the regression
     metrics on ``test_df``; with ``validation_df``, boosted trees are cut back
-    to their best round on it."""
+    to their best round on it.  ``fitted`` holds models, by name, that are only
+    scored (a stored forest)."""
     from parcelkit.operators.metrics import regression_metrics
     out = []
     for n in names or ["random_forest", "gbt"]:
         given = (params or {}).get(n, {})
-        if n == "gbt" and validation_df is not None:
+        if n in (fitted or {}):
+            m = fitted[n]
+        elif n == "gbt" and validation_df is not None:
             m, _ = train_with_patience(train_df, validation_df, features, label, **given)
         else:
             m = train(train_df, features, label, n, **given)
-        metrics = regression_metrics(m.transform(test_df), label, "prediction").withColumn("model", F.lit(n))
+        scored = cut_lineage(m.transform(test_df).select(label, "prediction"))   # scored once, read by each statistic
+        metrics = regression_metrics(scored, label, "prediction").withColumn("model", F.lit(n))
         out.append(TrainResult(n, m, metrics))
     return out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelkit.functions import text as T
 from parcelkit.operators import features as FE
+from parcelkit.operators import forest as FO
 from parcelkit.operators import metrics as M
 from parcelkit.operators import ml as ML
 from parcelkit.operators import ranking as R
@@ -197,8 +198,13 @@ def _features(df):
 
 
 def _forest(d):
-    """The declared forest, fitted on the train split."""
-    return ML.train(d.where("split = 'train'"), _features(d), Y, "random_forest", **ML.TRAINING_CONFIGS["random_forest"])
+    """The declared forest, fitted on the train split once per model store."""
+    return FO.stored_forest(d.where("split = 'train'"), _features(d), Y, **ML.TRAINING_CONFIGS["random_forest"])
+
+
+def _tested(d, model):
+    """Key, label and prediction of the test split, scored once."""
+    return cut_lineage(model.transform(d.where("split = 'test'")).select(*KEY, Y, "prediction"))
 
 
 def _held_out(d):
@@ -210,8 +216,7 @@ def _held_out(d):
 @register("rf_score")
 def q_rf_score(spark, sf):
     d = _ml_frame(spark, sf)
-    m = _forest(d)
-    return rounded(m.transform(d.where("split = 'test'")).select(*KEY, Y, "prediction"))
+    return rounded(_tested(d, _forest(d)))
 
 
 @register("gbt_score")
@@ -224,23 +229,21 @@ def q_gbt_score(spark, sf):
 @register("random_search")
 def q_random_search(spark, sf):
     d = _ml_frame(spark, sf).where("split = 'train'")
-    _, table = ML.random_search(d, _features(d), Y, "random_forest", n_iter=2, folds=2,
-                                base=ML.TRAINING_CONFIGS["random_forest"], space=ML.RF_SEARCH)
+    _, table = FO.search_forest(d, _features(d), Y, KEY, ML.sample_grid(ML.RF_SEARCH, 2), folds=2,
+                                base=ML.TRAINING_CONFIGS["random_forest"])
     return rounded(table)
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     d = _ml_frame(spark, sf)
-    feats = _features(d)
-    m = _forest(d)
-    return rounded(R.top_k(ML.feature_importance(spark, m, feats), "importance", 10, tiebreak=["feature"]))
+    return rounded(R.top_k(_forest(d).importance(), "importance", 10, tiebreak=["feature"]))
 
 
 def _trained(d):
     train, validation = _held_out(d)
     return ML.train_models(train, d.where("split = 'test'"), _features(d), Y, params=ML.TRAINING_CONFIGS,
-                           validation_df=validation)
+                           validation_df=validation, fitted={"random_forest": _forest(d)})
 
 
 @register("train_models")
@@ -270,8 +273,7 @@ def q_run_log(spark, sf):
 @register("validation_gate")
 def q_validation_gate(spark, sf):
     d = _ml_frame(spark, sf)
-    m = _forest(d)
-    pred = m.transform(d.where("split = 'test'"))
+    pred = _tested(d, _forest(d))
     t = M.threshold_table(M.to_long(M.validation_metrics(pred, Y, "prediction")))
     return rounded(t.withColumn("validation_passed", M.gate(t).select("validation_passed").scalar()))
 
@@ -291,8 +293,8 @@ def q_batch_score(spark, sf):
     d = _ml_frame(spark, sf)
     m = _forest(d)
     path = scratch_path(spark, "model")
-    ML.save_model(m, path)
-    loaded = ML.load_model(path)
+    FO.copy_forest(m, path)
+    loaded = FO.load_forest(spark, path)
     return ML.score(loaded, d, KEY, version="1").drop("scored_at")
 
 
@@ -300,8 +302,7 @@ def q_batch_score(spark, sf):
 def q_residual_summary(spark, sf):
     from parcelkit.functions.stats import exact_quantiles
     d = _ml_frame(spark, sf)
-    m = _forest(d)
-    res = m.transform(d.where("split = 'test'")).select((F.col(Y) - F.col("prediction")).alias("residual"))
+    res = _tested(d, _forest(d)).select((F.col(Y) - F.col("prediction")).alias("residual"))
     return rounded(exact_quantiles(res, [], "residual", [0.1, 0.25, 0.5, 0.75, 0.9]))
 
 
