@@ -20,6 +20,7 @@ from parcelkit.operators import clean as C
 from parcelkit.operators import encode as E
 from parcelkit.operators import fairness as FA
 from parcelkit.operators import features as FE
+from parcelkit.operators import mitigation as MI
 from parcelkit.operators import ml as ML
 from parcelkit.operators import profile as P
 from parcelkit.operators import quality as Q
@@ -132,9 +133,9 @@ def constraint_grid(pred: DataFrame, label: str, group: str) -> tuple[int, int,
     return (-3, -1, 15) if ratio is not None and ratio > 0.3 else (-4, -1, 10)
 
 
-def mitigate(df: DataFrame, features: list[str], label: str, group: str, key: list[str],
-             name: str = "linear", grid_size: int | None = None, checkpoint: bool = True, **params) -> MitigationResult:
-    """Re-aimed mitigation search (M5): fit the model with group sample
+def _mitigate_by_fits(df: DataFrame, features: list[str], label: str, group: str, key: list[str],
+                      name: str, grid_size: int | None = None, checkpoint: bool = True, **params) -> MitigationResult:
+    """Mitigation search (M5) for models without closed form: fit the model with group sample
     weights of pass 1 and pass 2 (M3) at several strengths (log grid:
     ``grid_size`` values, or 15 where the groups' errors differ by more than
     30 % and 10 from a lower start where not), score each by the disparity score (M4), keep the lowest, fall back to the
@@ -180,18 +181,55 @@ def mitigate(df: DataFrame, features: list[str], label: str, group: str, key: li
     return MitigationResult(cands, calibrated)
 
 
+def mitigate(df: DataFrame, features: list[str], label: str, group: str, key: list[str],
+             name: str = "linear", grid_size: int | None = None, **params) -> MitigationResult:
+    """Mitigation search (M5) followed by group calibration (M6).
+
+    For the linear model every candidate (both passes' weights, the grid of bounds on a group's loss, squared and
+    absolute loss) is the averaged predictor of a reductions loop over the groups' moments: three passes over the data
+    in all (``operators.mitigation``).  Other models are fitted again per pass and strength of the weights."""
+    if name != "linear" or params:
+        return _mitigate_by_fits(df, features, label, group, key, name, grid_size, **params)
+    found = MI.fit_mitigation(df, features, label, group, grid_size and (lambda _: log_grid(-3, -1, grid_size)))
+    candidates = df.sparkSession.createDataFrame(
+        found.candidates, "pass int, loss string, bound double, holds boolean, disparity_score double, chosen boolean")
+    predicted = df.select(*key, label, group, found.prediction().alias("prediction"), found.factor(group).alias("calibration_factor"))
+    return MitigationResult(candidates, predicted.withColumn("calibrated", F.col("prediction") * F.col("calibration_factor")))
+
+
+def disparity_scores(df: DataFrame, label: str, group: str, predictions: list[str]) -> list[float]:
+    """The disparity score of each prediction column, one aggregate; infinite where there are not two groups."""
+    y = F.col(label)
+    aggs = [F.avg(y).alias("y"), F.count(label).alias("n")]
+    for i, p in enumerate(predictions):
+        error = F.pow(y - F.col(p), 2)
+        aggs += [F.sqrt(F.avg(error)).alias(f"e{i}"), F.avg(p).alias(f"m{i}"),
+                 (1 - F.try_divide(F.sum(error), F.var_pop(y) * F.count(label))).alias(f"r{i}")]
+    rows = {r[group]: r for r in df.where(F.col(group).isin(0, 1)).groupBy(group).agg(*aggs).collect()}   # two rows
+    if set(rows) != {0, 1}:
+        return [float("inf")] * len(predictions)
+    mean = sum(r["y"] * r["n"] for r in rows.values()) / sum(r["n"] for r in rows.values())
+    out = []
+    for i in range(len(predictions)):
+        of = {k: [rows[g][f"{c}{i}"] or 0.0 for g in (0, 1)] for k, c in (("rmse", "e"), ("mean_prediction", "m"), ("r2", "r"))}
+        out.append(MI.disparity(of, mean))
+    return out
+
+
 def evaluate_and_mitigate(df: DataFrame, features: list[str], label: str, sensitive: dict[str, str],
-                          key: list[str], rounds: int = 3, **kw) -> tuple[DataFrame, DataFrame]:
+                          key: list[str], rounds: int = 3, name: str = "linear", **kw) -> tuple[DataFrame, DataFrame]:
     """Up to ``rounds`` rounds (M7): analyse bias of the current predictions,
     mitigate each significant feature after the other, and analyse once more
     at the end.  Returns (the report of every round, the mitigated predictions
     with the key, label and groups); the last round's report is of the latter.
 
-    Features are chained: a later one starts from the frame, and its result
-    replaces the predictions that the earlier one left."""
+    Features are chained: a later one's result replaces the predictions that the
+    earlier one left, but only if the feature's disparity score gets lower; the
+    rounds end when none does.  ``first_prediction`` is that of the plain model."""
     pred_col = "prediction"
-    model = ML.train(df, features, label, kw.get("name", "linear"))
-    current = cut_lineage(model.transform(df).drop("features"))
+    model = ML.train(df, features, label, name)
+    current = cut_lineage(model.transform(df).drop("features").withColumn("first_prediction", F.col(pred_col)))
+    found: dict[str, DataFrame] = {}
     reports = None
     for r in range(rounds + 1):
         long = FA.sensitive_long(current, sensitive, label, pred_col)
@@ -200,8 +238,16 @@ def evaluate_and_mitigate(df: DataFrame, features: list[str], label: str, sensit
         flagged = [row["feature"] for row in rep.where("significant").select("feature").collect()]   # sensitive features
         if not flagged or r == rounds:
             break
+        better = False
         for f in flagged:
-            res = mitigate(current.drop(pred_col), features, label, sensitive[f], key, **kw)
-            mitigated = res.predictions.select(*key, F.col("calibrated").alias(pred_col))
-            current = cut_lineage(current.drop(pred_col).join(mitigated, key))
-    return reports, current.select(*dict.fromkeys([*key, label, *sensitive.values(), pred_col]))
+            if f not in found:   # the fit depends on the data, not on the predictions it replaces
+                result = mitigate(df, features, label, sensitive[f], key, name=name, **kw)
+                found[f] = cut_lineage(result.predictions.select(*key, F.col("calibrated").alias("_new")))
+            tried = current.join(found[f], key)
+            now, then = disparity_scores(tried, label, sensitive[f], [pred_col, "_new"])
+            if then < now:
+                current = cut_lineage(tried.drop(pred_col).withColumnRenamed("_new", pred_col))
+                better = True
+        if not better:
+            break
+    return reports, current.select(*dict.fromkeys([*key, label, *sensitive.values(), pred_col, "first_prediction"]))
