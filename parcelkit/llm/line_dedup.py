@@ -2,29 +2,29 @@
 
 A block is any run of neighbouring lines of at least ``min_chars`` characters
 that stands, in the same order and without a gap, in any earlier document, no
-matter where, in what order or how often.  Every line of such a block is in a
-shortest window of lines of ``min_chars`` characters that begins or ends inside
-it, so the hashes of those windows are grouped, and all places of a window but
-those of its earliest document go: linear in the lines, whether a window is
-rare or common, and no document is joined with another.  Equal texts are one
-class first: all but the earliest are one block.
-
-With ``rare`` documents are aligned in pairs instead, and each line has one
-partner only: through the lines in at most ``rare`` different texts a document
-is paired with the earliest one that has the line.  A pair's line sequences are
-aligned by patience diff, then the runs that stand in another order or more
-than once are matched.  Of the common lines, runs that stand in the earliest
-document that has them go.
-
-Only line and window hashes travel; texts are joined once with what is to be
-deleted.
+matter where, in what order or how often.  What documents share is found by the
+hashes of lines; a line under ``min_chars`` counts with its neighbours, as the
+shortest window of lines that reaches it, and every line of a block is in such a
+window that begins or ends inside the block.
+
+Documents that share a rare window (at most ``rare`` places) are paired: each
+with the earliest that has the window.  A pair's line sequences are aligned by
+patience diff, then the runs that stand in another order or more than once are
+matched, and the aligned blocks go from the later document.  A window in more
+places would pair too many documents for what it tells; its places go without a
+pair, all but those of its earliest document.  Together that is every block of
+every earlier document.  Equal texts are one class first: all but the earliest
+are one block.
+
+Only line and window hashes travel, and the line hashes of the two documents of
+a pair; texts are joined once with what is to be deleted.
 
 Order is that of the ids (null last, then by text digest).  Defined cases: a
 null text stays null, an empty one empty; rows with equal id and text are the
 same document and are treated alike; blank lines go only inside a block; line
 ends are not counted as characters; an empty table gives no rows; other
-columns are carried through unchanged, also if their names begin with "_"
-unless they are the reserved names ``_k1 _k2 _rep _gone _copies _chars``.
+columns are carried through unchanged, whatever their names (an added column
+whose name is taken gets underscores at its end until it is free).
 """
 
 from __future__ import annotations
@@ -185,14 +185,21 @@ def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumn("_k1", F.xxhash64(text_col)).withColumn("_k2", F.xxhash64(F.lit(7), text_col))
 
 
+def _line_keys(lines: pa.Array, row: int) -> tuple[list, list[int]]:
+    """(hash, characters) of the lines of one row, and the characters alone."""
+    at, to = lines.offsets[row].as_py(), lines.offsets[row + 1].as_py()
+    part = lines.values.slice(at, to - at)
+    sizes = part.field("n").to_pylist()
+    return list(zip(part.field("h").to_pylist(), sizes, strict=True)), sizes
+
+
 def _aligned_blocks(pairs: DataFrame, min_chars: int) -> DataFrame:
     """(_k1, _k2, gone) from pairs with the line arrays ``early`` and ``late``."""
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gone = []
-            for early, late in zip(batch.column("early").to_pylist(), batch.column("late").to_pylist(), strict=True):
-                a, b = [(x["h"], x["n"]) for x in early], [(x["h"], x["n"]) for x in late]
-                weights = [n for _, n in b]
+            for row in range(batch.num_rows):
+                (a, _), (b, weights) = (_line_keys(batch.column(c), row) for c in ("early", "late"))
                 gone.append(heavy_blocks(patience_matches(a, b, weights, min_chars), weights, min_chars))
             yield pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"),
                                               pa.array(gone, pa.list_(pa.int32()))], ["_k1", "_k2", "gone"])
@@ -200,27 +207,6 @@ def _aligned_blocks(pairs: DataFrame, min_chars: int) -> DataFrame:
     return pairs.mapInArrow(align, "_k1 bigint, _k2 bigint, gone array<int>")
 
 
-def _common_runs(rows: DataFrame, min_chars: int) -> DataFrame:
-    """(_k1, _k2, gone) from documents with their lines and where their common
-    lines stand first (``first``: line, first document, place there)."""
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gone = []
-            for lines, first in zip(batch.column("lines").to_pylist(), batch.column("first").to_pylist(), strict=True):
-                home = {(f["h"], f["n"]): ((f["rep"], f["k1"], f["k2"]), f["at"]) for f in first}
-                weights = [x["n"] for x in lines]
-                by_home: dict = {}
-                for j, x in enumerate(lines):
-                    found = home.get((x["h"], x["n"]))
-                    if found is not None:
-                        by_home.setdefault(found[0], []).append((found[1], j))
-                gone.append([j for places in by_home.values() for j in heavy_blocks(places, weights, min_chars)])
-            yield pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"),
-                                              pa.array(gone, pa.list_(pa.int32()))], ["_k1", "_k2", "gone"])
-
-    return rows.mapInArrow(runs, "_k1 bigint, _k2 bigint, gone array<int>")
-
-
 def block_windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
     """(first, last) of the shortest windows of at least ``least`` from each
     place and up to each place.  Each item of a run of at least ``least`` is in
@@ -294,53 +280,32 @@ def _covered(spans: DataFrame) -> DataFrame:
             .mapInArrow(union, "_k1 bigint, _k2 bigint, gone array<int>"))
 
 
-def _repeated_windows(classes: DataFrame, min_chars: int) -> tuple[DataFrame, list[str]]:
-    """(_k1, _k2, gone) of the windows that an earlier document has, and the folders they are read from."""
+def _repeats(classes: DataFrame, min_chars: int, rare: int) -> tuple[DataFrame, list[str]]:
+    """(_k1, _k2, gone): by aligned pairs through rare windows and by the places of common ones; and the folders that
+    the frame is read from."""
     windows, windows_path = materialize(_windows(classes, min_chars), "line-windows")
     holder = F.struct(F.col("_rep").alias("rep"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
     # Written before it is joined, as AQE cannot split a very common window in the stage of this aggregate.
     shared, shared_path = materialize(
-        windows.groupBy("w1", "w2").agg(F.min(holder).alias("home"), F.max(holder).alias("_latest"))
-        .where("home <> _latest").select("w1", "w2", "home.k1", "home.k2"), "line-shared")
-    spans = windows.join(shared, ["w1", "w2"]).where("_k1 <> k1 OR _k2 <> k2")
-    return _covered(spans.select("_k1", "_k2", "first", "last")), [windows_path, shared_path]
-
-
-def _paired_repeats(classes: DataFrame, min_chars: int, rare: int) -> tuple[DataFrame, list[str]]:
-    """The same by pairs of documents through their rare lines, and by runs of common lines."""
-    lines = classes.select("_rep", "_k1", "_k2", "lines", F.explode(
-        F.array_distinct(F.filter("lines", lambda x: x["n"] > 0))).alias("x"))
-    lines = lines.select("_rep", "_k1", "_k2", F.col("x.h").alias("h"), F.col("x.n").alias("n"),
-                         (F.array_position("lines", F.col("x")) - 1).alias("at"))
-    # Written before it is joined: else the join would run in the stage of this aggregate, where
-    # AQE cannot split the rows of a very common line.
-    shared, shared_path = materialize(
-        lines.groupBy("h", "n")
-        .agg(F.count(F.lit(1)).alias("df"),
-             F.min(F.struct(F.col("_rep").alias("rep"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"),
-                            F.col("at"))).alias("first"))
-        .where("df > 1"), "line-shared")
-    later, later_path = materialize(
-        lines.drop("at").join(shared, ["h", "n"]).where("_k1 <> first.k1 OR _k2 <> first.k2")
-        .select("_k1", "_k2", "h", "n", "df", "first.*"), "later-lines")
-
+        windows.groupBy("w1", "w2").agg(F.min(holder).alias("home"), F.max(holder).alias("_latest"), F.count(F.lit(1)).alias("places"))
+        .where("home <> _latest").select("w1", "w2", "home.k1", "home.k2", "places"), "line-shared")
+    later, later_path = materialize(windows.join(shared, ["w1", "w2"]).where("_k1 <> k1 OR _k2 <> k2").select(
+        "_k1", "_k2", "first", "last", "k1", "k2", (F.col("places") <= rare).alias("rare")), "line-later")
     arrays = classes.select("_k1", "_k2", "lines")
-    pairs = later.where(F.col("df") <= rare).select("_k1", "_k2", "k1", "k2").distinct()
+    pairs = later.where("rare").select("_k1", "_k2", "k1", "k2").distinct()
     paired = (pairs.join(arrays.withColumnRenamed("lines", "late"), ["_k1", "_k2"])
               .join(arrays.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("lines").alias("early")),
                     ["k1", "k2"]))
-    common = (later.where(F.col("df") > rare).groupBy("_k1", "_k2")
-              .agg(F.collect_list(F.struct("h", "n", "rep", "k1", "k2", "at")).alias("first"))
-              .join(arrays, ["_k1", "_k2"]))
-    return (_aligned_blocks(paired, min_chars).union(_common_runs(common, min_chars)).where(F.size("gone") > 0)
-            .groupBy("_k1", "_k2").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")),
-            [shared_path, later_path])
+    common = _covered(later.where("NOT rare").select("_k1", "_k2", "first", "last"))
+    found = (_aligned_blocks(paired, min_chars).union(common).where(F.size("gone") > 0).groupBy("_k1", "_k2")
+             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone")))
+    return found, [windows_path, shared_path, later_path]
 
 
-def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, rare: int | None = None) -> DataFrame:
+def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, rare: int = RARE) -> DataFrame:
     """(_k1, _k2, _rep, _copies, _gone, _chars) of every class of equal texts
-    with something to delete: numbers of the lines that go from its earliest
-    document, which is ``_rep``; later documents of the class go whole."""
+    with something to delete: numbers of the lines, ascending, that go from its
+    earliest document, which is ``_rep``; later documents of the class go whole."""
     spark = docs.sparkSession
     sketch = (_keyed(docs.where(F.col(text_col).isNotNull()), text_col)
               .select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_rep"), "_k1", "_k2",
@@ -348,8 +313,7 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, ra
     classes, classes_path = materialize(
         sketch.groupBy("_k1", "_k2").agg(F.min("_rep").alias("_rep"), F.count(F.lit(1)).alias("_copies"),
                                          F.first("lines").alias("lines")), "line-classes")
-    found, paths = (_repeated_windows(classes, min_chars) if rare is None
-                    else _paired_repeats(classes, min_chars, rare))
+    found, paths = _repeats(classes, min_chars, rare)
     gone = found.withColumnRenamed("gone", "_gone")
     chars = F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["n"])
     plan, _ = materialize(
@@ -359,20 +323,31 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, min_chars: int, ra
     return plan
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-                rare: int | None = None) -> DataFrame:
+                rare: int = RARE) -> DataFrame:
     """``docs`` with the repeated blocks deleted from ``text_col``, and
     ``removed_lines`` and ``removed_chars`` (0 where nothing went)."""
-    plan = find_repeats(docs, id_col, text_col, min_chars, rare)
-    joined = _keyed(docs, text_col).join(plan, ["_k1", "_k2"], "left")
-    cut = F.split(F.col(text_col), "\n")
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc_id, text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    plan = find_repeats(plain, doc_id, text, min_chars, rare)
+    joined = _keyed(plain, text).join(plan, ["_k1", "_k2"], "left")
+    cut = F.split(F.col(text), "\n")
     copy = (F.col("_copies") > 1) & (F.col("_chars") >= min_chars) & (
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)) != F.col("_rep"))
-    kept = F.filter(cut, lambda x, i: ~F.array_contains("_gone", i))
-    text = (F.when(copy, F.lit("")).when(F.col("_gone").isNotNull(), F.array_join(kept, "\n"))
-            .otherwise(F.col(text_col)))
-    removed = (F.when(copy, F.size(cut)).when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(F.lit(0)))
-    out = joined.withColumn("removed_lines", removed.cast("int")).withColumn("_new", text)
-    out = out.withColumn("removed_chars", F.coalesce(F.length(text_col) - F.length("_new"), F.lit(0)).cast("long"))
-    return out.select(*[F.col("_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                      "removed_lines", "removed_chars")
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)) != F.col("_rep"))
+    # What stands between neighbouring deleted lines stays: linear in the lines.
+    bounds = F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size("_cut")))
+    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_gone")), lambda i: F.slice(
+        F.col("_cut"), F.get("_bounds", i) + 2, F.get("_bounds", i + 1) - F.get("_bounds", i) - 1)))
+    left = F.when(copy, F.lit("")).when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text))
+    removed = (F.when(copy, F.size("_cut")).when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(F.lit(0)))
+    out = joined.withColumn("_cut", cut).withColumn("_bounds", bounds).withColumn("_new", left)
+    lost = F.coalesce(F.length(text) - F.length("_new"), F.lit(0)).cast("long")
+    return out.select(*[F.col("_new" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(names)],
+                      removed.cast("int").alias(_free("removed_lines", names)), lost.alias(_free("removed_chars", names)))

@@ -15,47 +15,6 @@ def run(spark, rows, **kw):
     return sorted([(r.doc_id, r.text, r.removed_lines) for r in out.collect()], key=str)
 
 
-def brute(rows, min_chars=line_dedup.MIN_CHARS, rare=line_dedup.RARE):
-    """The same rule with plain loops over all texts."""
-    last = 1 << 70
-    texts = {}
-    for i, t in rows:
-        if t is not None:
-            texts[t] = min(texts.get(t, last), last if i is None else i)
-    cut = {t: [x.strip(" ") for x in t.split("\n")] for t in texts}
-    gone = {t: set() for t in texts}
-    holders = {}
-    for t in texts:
-        for x in set(cut[t]) - {""}:
-            holders.setdefault(x, []).append(t)
-    first = {x: min(h, key=lambda t: texts[t]) for x, h in holders.items()}
-
-    def blocks(matches, t):
-        block = []
-        for m in [*matches, (-9, -9)]:
-            if block and m != (block[-1][0] + 1, block[-1][1] + 1):
-                if sum(len(cut[t][j]) for _, j in block) >= min_chars:
-                    gone[t].update(j for _, j in block)
-                block = []
-            block.append(m)
-    for t in texts:
-        mine = {x for x in cut[t] if x and first[x] != t}
-        for early in {first[x] for x in mine if len(holders[x]) <= rare}:
-            blocks(line_dedup.patience_matches(cut[early], cut[t]), t)
-        for early in {first[x] for x in mine if len(holders[x]) > rare}:
-            blocks([(cut[early].index(x), j) for j, x in enumerate(cut[t])
-                    if x in mine and len(holders[x]) > rare and first[x] == early], t)
-    out = []
-    for i, t in rows:
-        if t is not None and (last if i is None else i) != texts[t] and sum(map(len, cut[t])) >= min_chars:
-            out.append((i, "", len(cut[t])))
-        elif t is not None and gone[t]:
-            out.append((i, "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone[t]), len(gone[t])))
-        else:
-            out.append((i, t, 0))
-    return sorted(out, key=str)
-
-
 def test_patience_anchors_and_blocks():
     assert line_dedup.patience_matches(list("axbyc"), list("abc")) == [(0, 0), (2, 1), (4, 2)]
     assert line_dedup.patience_matches(list("pqAxyBr"), list("AzyB")) == [(2, 0), (4, 2), (5, 3)]
@@ -66,7 +25,7 @@ def test_patience_anchors_and_blocks():
 def test_edges(spark):
     rows = [(1, LONG), (2, f"new\n{LONG}\nend"), (2, f"new\n{LONG}\nend"), (3, None), (4, ""), (5, "short\nlines"),
             (6, "short\nother"), (None, LONG), (7, LONG), (1, LONG), (8, f"  {LONG}  \nrest")]
-    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows) == all_blocks(rows)
     assert (7, "", 1) in run(spark, rows) and (8, "rest", 1) in run(spark, rows)
     assert run(spark, []) == []
 
@@ -84,14 +43,14 @@ def test_common_lines_and_moved_blocks(spark):
             lines.insert(0, pool[0])
         rows.append((rng.randrange(10**6), "\n".join(lines)))
     rows += rows[:5]
-    for rare in (2, 6, 1000):
-        assert run(spark, rows, rare=rare) == brute(rows, rare=rare)
+    for rare in (0, 2, 6, 1000):
+        assert run(spark, rows, rare=rare) == all_blocks(rows)
 
 
 def test_query_on_the_small_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = sorted(((r.doc_id, r.text, r.removed_lines) for r in QUERIES["op9_line_dedup"](spark, SF).collect()), key=str)
-    assert got == brute(rows)
+    assert got == all_blocks(rows)
 
 
 def common_blocks(a, b, weights, least):
@@ -125,15 +84,23 @@ def test_repeated_and_moved_passages(spark):
 
 def all_blocks(rows, min_chars=line_dedup.MIN_CHARS):
     """Every heavy run of lines against every earlier text, by plain loops."""
-    first = {}
+    first, last = {}, 1 << 70
+    number = lambda i: last if i is None else i
     for i, t in rows:
-        first[t] = min(i, first.get(t, i))
+        if t is not None:
+            first[t] = min(number(i), first.get(t, last))
     cut = {t: [x.strip(" ") for x in t.split("\n")] for t in first}
     out = []
     for i, t in rows:
+        if t is None:
+            out.append((i, t, 0))
+            continue
         size = [len(x) for x in cut[t]]
-        gone = set().union(*(common_blocks(cut[e], cut[t], size, min_chars) for e in first if first[e] < first[t]))
-        if i != first[t] and sum(size) >= min_chars:
+        gone = set()
+        for e in first:
+            if first[e] < first[t] and set(cut[e]) & set(cut[t]):
+                gone |= common_blocks(cut[e], cut[t], size, min_chars)
+        if number(i) != first[t] and sum(size) >= min_chars:
             gone = set(range(len(size)))
         out.append((i, "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone), len(gone)))
     return sorted(out, key=str)
@@ -160,3 +127,15 @@ def test_every_block_against_every_earlier_text(spark):
     rows += [(200 + k, rows[k][1]) for k in range(4)]
     assert run(spark, rows) == all_blocks(rows)
     assert run(spark, rows, min_chars=90) == all_blocks(rows, 90)
+
+
+def test_long_text_and_taken_names(spark):
+    own = [f"line {k} of a text that is very long indeed, word {k * k}" for k in range(12_000)]
+    late = ["short"] + own[3000:9000] + ["between"] + own[:10] + ["end"]
+    rows = [(1, "\n".join(own), "a", "b"), (2, "\n".join(late), "c", "d")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _new string, removed_lines string")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "_new", "removed_lines", "removed_lines_", "removed_chars"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1].text == rows[0][1] and got[1]._new == "a" and got[2].removed_lines == "d"
+    assert got[2].text == "short\nbetween\nend" and got[2].removed_lines_ == 6010
