@@ -5,7 +5,8 @@ Vectors are projected on a few leading principal directions (an orthonormal
 basis, so projected distances never exceed true ones), get a grid cell of
 width eps in each, and are sorted by cell.  The sorted sequence is cut into
 blocks; two blocks are joined only if a cell of one is next to a cell of the
-other and their bounding boxes lie within eps.  Inside a task the join is
+other and their bounding boxes lie within eps.  Block pairs are grouped in
+tiles, which bounds how often a block is shipped.  Inside a task the join is
 recursive: two sequence intervals whose boxes lie farther apart than eps are
 skipped, others are halved until they are small, and the rest is compared in
 double precision.  Skipping is exact, so recall is 1; the basis is fitted on at
@@ -39,6 +40,7 @@ DIRECTIONS, KEYS = 6, 3      # projected on, and of them used to find neighbouri
 BLOCK = 4096
 LEAF = 256
 SAMPLE = 20_000
+TILE_BYTES = 32 << 20
 
 
 def epsilon(threshold: float) -> float:
@@ -80,7 +82,7 @@ def interval_join(unit_a: np.ndarray, place_a: np.ndarray, unit_b: np.ndarray, p
         if a1 - a0 <= LEAF and b1 - b0 <= LEAF:
             i, j = np.nonzero(unit_a[a0:a1] @ unit_b[b0:b1].T >= threshold - 1e-9)
             i, j = i + a0, j + b0
-            exact = (unit_a[i] * unit_b[j]).sum(1) >= threshold - 1e-15
+            exact = (unit_a[i] * unit_b[j]).sum(1) >= threshold
             if same:
                 exact &= i < j
             if exact.any():
@@ -209,45 +211,54 @@ def _block_pairs(blocks: DataFrame, eps: float, keys: int) -> DataFrame:
     return left.join(right, "cell").where(F.col("a") <= F.col("b")).where(gap <= eps * eps).select("a", "b").distinct()
 
 
-def _links(blocks: DataFrame, pairs: DataFrame, directions: np.ndarray, eps: float, threshold: float) -> DataFrame:
-    """(node, partner_copies, root) per block pair and linked vector."""
-    dim = directions.shape[0]
-    data = blocks.select("block", "node", "copies", "data")
-    side = lambda s: data.select(*[F.col(c).alias(f"{c}_{s}") for c in data.columns])
-    both = (pairs.join(side("a"), F.col("a") == F.col("block_a")).join(side("b"), F.col("b") == F.col("block_b"))
-            .select("a", "b", "node_a", "copies_a", "data_a", "node_b", "copies_b", "data_b"))
-
-    def read(row: dict, s: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return (np.frombuffer(row[f"node_{s}"], np.int64), np.frombuffer(row[f"copies_{s}"], np.int64),
-                units(np.frombuffer(row[f"data_{s}"], np.float64).reshape(-1, dim)))
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                same = row["a"] == row["b"]
-                node, copies, unit = read(row, "a")
-                shift = 0
-                other = unit
-                if not same:
-                    node_b, copies_b, other = read(row, "b")
-                    shift = len(node)
-                    node, copies = np.concatenate([node, node_b]), np.concatenate([copies, copies_b])
-                order = np.argsort(node)               # so the forest's smallest member is the smallest node
-                rank = np.empty(len(node), np.int64)
-                rank[order] = np.arange(len(node))
-                degree, forest = np.zeros(len(node), np.int64), _Forest(len(node))
-                for i, j in interval_join(unit, unit @ directions, other, other @ directions, eps, threshold, same):
-                    j = j + shift
-                    degree += np.bincount(i, copies[j], len(node)).astype(np.int64)
-                    degree += np.bincount(j, copies[i], len(node)).astype(np.int64)
-                    forest.join_all(rank[i], rank[j])
-                linked = np.flatnonzero(degree)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[linked]), pa.array(degree[linked]), pa.array(node[order[forest.roots(rank[linked])]])],
-                    ["node", "partner_copies", "root"])
-
-    return both.mapInArrow(join, "node bigint, partner_copies bigint, root bigint")
+def _tiles(blocks: DataFrame) -> int:
+    """Into how many parts the blocks are dealt: the tile of two parts is a task, so there are about two tiles per core,
+    and a tile's blocks have at most about 2 * TILE_BYTES."""
+    size = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    return max(int(np.ceil(np.sqrt(4 * cores))), -(-size // TILE_BYTES))
+
+
+def _links(blocks: DataFrame, pairs: DataFrame, directions: np.ndarray, eps: float,
+           threshold: float) -> tuple[DataFrame, str]:
+    """(node, partner_copies, root) per block pair and linked vector, and the folder of tiles that the frame reads.
+
+    Pairs are grouped in tiles, so a block travels once to each tile that has a pair of it, not once per pair."""
+    dim, parts = directions.shape[0], _tiles(blocks)
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts))
+    tiled, path = materialize(pairs.select("a", "b", (
+        F.least(part("a"), part("b")) * parts + F.greatest(part("a"), part("b"))).alias("tile")), "ego-tiles")
+    needed = tiled.select(F.col("tile").alias("at"), F.explode(F.array("a", "b")).alias("block")).distinct()
+    shipped = needed.join(blocks.select("block", "node", "copies", "data"), "block")
+
+    def join_pair(a: tuple, b: tuple, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, copies, unit = a
+        other, shift = unit, 0
+        if not same:
+            node, copies, other, shift = np.concatenate([node, b[0]]), np.concatenate([copies, b[1]]), b[2], len(node)
+        order = np.argsort(node)               # so the forest's smallest member is the smallest node
+        rank = np.empty(len(node), np.int64)
+        rank[order] = np.arange(len(node))
+        degree, forest = np.zeros(len(node), np.int64), _Forest(len(node))
+        for i, j in interval_join(unit, unit @ directions, other, other @ directions, eps, threshold, same):
+            j = j + shift
+            degree += np.bincount(i, copies[j], len(node)).astype(np.int64)
+            degree += np.bincount(j, copies[i], len(node)).astype(np.int64)
+            forest.join_all(rank[i], rank[j])
+        linked = np.flatnonzero(degree)
+        return node[linked], degree[linked], node[order[forest.roots(rank[linked])]]
+
+    def join(held: pa.Table, wanted: pa.Table) -> pa.Table:
+        read = {}
+        for block, node, copies, data in zip(*[held.column(c) for c in ("block", "node", "copies", "data")]):
+            read[block.as_py()] = (np.frombuffer(node.as_buffer(), np.int64), np.frombuffer(copies.as_buffer(), np.int64),
+                                   units(np.frombuffer(data.as_buffer(), np.float64).reshape(-1, dim)))
+        found = [join_pair(read[a], read[b], a == b) for a, b in zip(wanted.column("a").to_pylist(), wanted.column("b").to_pylist())]
+        columns = [np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in range(3)]
+        return pa.table(dict(zip(("node", "partner_copies", "root"), columns)))
+
+    grouped = shipped.groupBy("at").cogroup(tiled.groupBy("tile"))
+    return grouped.applyInArrow(join, "node bigint, partner_copies bigint, root bigint"), path
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -263,9 +274,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         directions = principal_directions(np.array(sample["v"].tolist(), np.float64))
         blocks, blocks_path = materialize(_blocks(part, directions, eps), "ego-blocks")
         pairs = _block_pairs(blocks, eps, min(KEYS, directions.shape[1]))
-        links, links_path = materialize(_links(blocks, pairs, directions, eps, threshold), "ego-links")
+        linked, tiles_path = _links(blocks, pairs, directions, eps, threshold)
+        links, links_path = materialize(linked, "ego-links")
         found = found.union(links)
-        paths += [blocks_path, links_path]
+        paths += [blocks_path, tiles_path, links_path]
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = found.groupBy("node").agg(F.sum("partner_copies").alias("degree"))
     grouped = (classes.select("k1", "k2", "id", "copies", "node").join(degrees, "node", "left")
