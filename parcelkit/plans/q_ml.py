@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelkit.functions import text as T
+from parcelkit.operators import clean as C
 from parcelkit.operators import features as FE
 from parcelkit.operators import forest as FO
 from parcelkit.operators import metrics as M
@@ -141,6 +142,18 @@ def q_engineer_pipeline(spark, sf):
     return rounded(PL.engineer_features(_clean(spark, sf)).data)
 
 
+@register("saved_pipeline", with_ctes("SELECT * EXCLUDE (split) FROM cleaned", "dirty", extra=_CHAIN))
+def q_saved_pipeline(spark, sf):
+    """Cleaning fitted once, saved as a pipeline model, loaded and applied to the raw records."""
+    from pyspark.ml import PipelineModel
+
+    from parcelkit.operators.stages import fit_cleaning
+    raw = cut_lineage(C.dedup_rows(property_frame(spark, sf)))
+    path = scratch_path(spark, "cleaning")
+    ML.save_model(PipelineModel([fit_cleaning(raw, KEY, Y, ["prediction", "OWN_OCC"])]), path)
+    return rounded(ML.load_model(path).transform(raw))
+
+
 @register("chain_issues", with_ctes("""
 SELECT 'missing' AS "check", c AS "column", round(v, 4) AS value, concat('High missing values in ', c, ': ', printf('%.2f', v * 100), '%') AS message
 FROM (SELECT unnest(['LIVING_AREA', 'YR_REMODEL', 'OVERALL_COND', 'BLDG_TYPE']) AS c,
@@ -261,14 +274,14 @@ def q_train_models(spark, sf):
 def q_run_log(spark, sf):
     """Train loop (L7) with the experiment log (A9): metric rows of every
     model appended to a Parquet log, read back."""
-    from parcelkit.sources.files import log_run
+    from parcelkit.sources.files import log_run, read_runs
     d = _ml_frame(spark, sf)
     res = _trained(d)
     path = scratch_path(spark, "run-log")
     for r in res:
         metrics = r.metrics.drop("model").first().asDict()          # one aggregated row
         log_run(spark, path, "run-1", r.name, metrics, ML.TRAINING_CONFIGS[r.name])
-    return spark.read.parquet(path).drop("ts")
+    return read_runs(spark, path).drop("ts")
 
 
 @register("validation_gate")

@@ -130,3 +130,72 @@ def q_top_values(spark, sf):
 def q_quality_alert(spark, sf):
     d = b.dirty(spark, sf).select("TOTAL_VALUE", "GROSS_AREA", "LIVING_AREA_N", "BLDG_TYPE_N", "YR_REMODEL")
     return alert_payload(quality_suite(d))
+
+
+@register("align_by_position", with_ctes(f"""
+SELECT {KEY_SQL}, GROSS_AREA, TOTAL_VALUE, true AS same_place FROM assess""", "assess"))
+def q_align_by_position(spark, sf):
+    """Features and target in two tables of other file sizes without a common key, put side by side by position.
+    ``same_place``: the price that each table carries along agrees."""
+    from parcelkit.sources.positions import align_by_position
+    a = b.assess(spark, sf)
+    x, y = scratch_path(spark, "x"), scratch_path(spark, "y")
+    order = [F.col(c) for c in KEY]
+    a.select(*KEY, "GROSS_AREA").repartitionByRange(5, *order).sortWithinPartitions(*order).write.parquet(x)
+    target = a.repartitionByRange(3, *order).sortWithinPartitions(*order)
+    target.select("TOTAL_VALUE", F.col("l_extendedprice").alias("price")).write.parquet(y)
+    both = align_by_position(spark, x, y)
+    return rounded(both.withColumn("same_place", F.col("price") == F.col("l_extendedprice")).drop("price"))
+
+
+@register("variant_payload", with_ctes(f"""
+SELECT {KEY_SQL}, CASE WHEN l_linenumber % 5 < 3 THEN round(GROSS_AREA, 4) END AS GROSS_AREA,
+  CASE l_linenumber % 5 WHEN 0 THEN 'number' WHEN 1 THEN 'text' WHEN 2 THEN 'object' WHEN 3 THEN 'null' ELSE 'absent' END AS kind,
+  CASE WHEN l_linenumber % 5 < 4 THEN YR_BUILT END AS YR_BUILT
+FROM assess""", "assess"))
+def q_variant_payload(spark, sf):
+    """Payloads of five shapes (area as number, text, object or null, and no JSON) read as VARIANT."""
+    a = b.assess(spark, sf)
+    area, year = F.col("GROSS_AREA").cast("string"), F.col("YR_BUILT").cast("string")
+    shapes = ['{"area": %s, "built": [%s]}', '{"area": "%s", "built": [%s]}', '{"area": {"value": %s}, "built": [%s]}',
+              '{"area": null, "built": [%s]}']
+    text = F.lit("area %s").cast("string")
+    for i, shape in enumerate(shapes):
+        args = [year] if i == 3 else [area, year]
+        text = F.when(F.col("l_linenumber") % 5 == i, F.format_string(shape, *args)).otherwise(text)
+    d = S.parse_payload(a.select(*KEY, text.alias("property_data")))
+    return rounded(d.select(*KEY, S.payload_field("payload", ["$.area", "$.area.value"], "double").alias("GROSS_AREA"),
+                            S.payload_kind("payload", "$.area").alias("kind"),
+                            S.payload_field("payload", ["$.built[0]"], "bigint").alias("YR_BUILT")))
+
+
+_STATISTICS = {"predicted_price": "predicted_price", "actual_price": "actual_price", "confidence": "confidence",
+               "deviation": "deviation", "notes": "length(notes)"}
+
+
+@register("merged_statistics", with_ctes(f"""
+SELECT "column", count(v) AS n, count(*) - count(v) AS nulls, count_if(v = 0) AS zeros, round(min(v), 4) AS least,
+  round(max(v), 4) AS greatest, true AS ranks_hold
+FROM (SELECT unnest({list(_STATISTICS)}) AS "column", unnest([{", ".join(f"CAST({v} AS DOUBLE)" for v in _STATISTICS.values())}]) AS v
+      FROM feedback)
+GROUP BY 1""", "feedback"))
+def q_merged_statistics(spark, sf):
+    """Statistics kept per day, merged without reading the data again (N1).  ``ranks_hold``: every decile of the merged
+    sketch has an exact rank within RANK_ERROR."""
+    from parcelkit.operators import sketches as SK
+    f = b.feedback(spark, sf).withColumn("day", F.to_date("created_at"))
+    path = scratch_path(spark, "daily-statistics")
+    S.append_table(SK.daily_statistics(f, ["day"], [c for c in _STATISTICS if c != "notes"], ["notes"]), path, batch_by=["day"])
+    merged = SK.merge_statistics(spark.read.parquet(path))
+    probs = [i / 10 for i in range(1, 10)]
+    deciles = {r["column"]: r["quantiles"] for r in SK.sketch_quantiles(merged, probs).select("column", "quantiles").collect()}
+    checks = []
+    for c, values in deciles.items():
+        x = F.length("notes").cast("double") if c == "notes" else F.col(c).cast("double")
+        held = F.lit(True)
+        for p, q in zip(probs, values or []):
+            below, upto = (F.count_if(t) / F.count(x) for t in (x < q, x <= q))
+            held = held & (below <= p + SK.RANK_ERROR) & (upto >= p - SK.RANK_ERROR)
+        checks.append(held.alias(c))
+    holds = f.agg(*checks).unpivot([], list(deciles), "column", "ranks_hold")
+    return rounded(merged.drop("sketch", "total").join(holds, "column"))
