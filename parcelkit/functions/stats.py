@@ -98,7 +98,9 @@ def group_modes(df: DataFrame, group_cols: list[str], value_col: str,
 
 
 #: Rank precision of the brackets: a bracket holds about 4 / ACCURACY of a group's rows.
-ACCURACY = 2000
+ACCURACY = 5000
+#: Up to so many groups, brackets and results pass through the driver; beyond, through written tables.
+FEW_GROUPS = 1000
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
@@ -122,12 +124,18 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     base = base.select(*g, F.when(~F.isnan(value), value + F.lit(0.0)).alias("_x")).where(F.col("_x").isNotNull())
     around = [min(1.0, max(0.0, p + side * 2.0 / accuracy)) for p in probs for side in (-1, 1)]
     sketch = F.percentile_approx("_x", F.array(*map(F.lit, around)), F.lit(accuracy))
-    # Written, so that its size is known and the join below broadcasts it only where it is small.
-    brackets = cut_lineage(base.groupBy(*g).agg(sketch.alias("_b")))
+    brackets = base.groupBy(*g).agg(sketch.alias("_b"))
+    few = brackets.limit(FEW_GROUPS + 1).collect()
+    bounded = len(few) <= FEW_GROUPS
+    if bounded:
+        brackets = F.broadcast(df.sparkSession.createDataFrame(few, brackets.schema))
+    else:   # written, so that its size is known and the join below broadcasts it only where it is small
+        brackets = cut_lineage(brackets)
     found = _ranked(base.join(brackets, g), g, probs, names)
-    exact = cut_lineage(found)
+    rows = found.collect() if bounded else None
+    exact = df.sparkSession.createDataFrame(rows, found.schema) if bounded else cut_lineage(found)
     missed = exact.where(F.col("_missed"))
-    if not missed.isEmpty():
+    if any(r["_missed"] for r in rows) if bounded else not missed.isEmpty():
         whole = base.join(missed.select(*g), g).withColumn(
             "_b", F.array(*[F.lit(float(s + "inf")) for _ in probs for s in ("-", "")]))
         exact = exact.where(~F.col("_missed")).unionByName(_ranked(whole, g, probs, names))
@@ -144,8 +152,9 @@ def _ranked(rows: DataFrame, g: list[str], probs: list[float], names: list[str])
         passed = passed + (x > high).cast("int")
     counted = (rows.select(*g, F.when(inside, x).alias("_v"), F.when(~inside, passed).alias("_gap"), "_x")
                .groupBy(*g, "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_first")))
-    # Positions within range partitions, and their offsets (one row per partition and group): no task gets a whole group.
-    ranged = cut_lineage(counted.repartitionByRange(*g, "_first").withColumn("_pid", F.spark_partition_id()))
+    # Written first, as the range partitions sample what they deal out.  Positions within range partitions, and their
+    # offsets (one row per partition and group): no task gets a whole group.
+    ranged = cut_lineage(cut_lineage(counted).repartitionByRange(*g, "_first").withColumn("_pid", F.spark_partition_id()))
     ahead = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_cnt"))
                .select("_pid", *g, F.coalesce(F.sum("_cnt").over(ahead), F.lit(0)).alias("_off"),
