@@ -51,13 +51,16 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str,
+def text_slices(batches: Iterator[pa.RecordBatch], column: str | tuple[str, ...],
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``limit`` bytes of
-    ``column`` (or a single row when that row alone is longer)."""
+    ``column`` (of several: of all together), or a single row when that row
+    alone is longer."""
     import pyarrow.compute as pc
+    names = (column,) if isinstance(column, str) else column
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        each = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_pylist() for c in names]
+        sizes = [sum(row) for row in zip(*each, strict=True)] if len(each) > 1 else each[0]
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:

@@ -24,6 +24,7 @@ whole; empty tables give no hits; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -161,8 +162,8 @@ class Matcher:
             spans[n] = merged
         return spans
 
-    def search(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item id, edits, start of the window, end of the best occurrence) of each item found."""
+    def search(self, text: str) -> list[tuple[int, int, int, int, int]]:
+        """(item id, edits, start of the window, end of the best occurrence, budget) of each item found."""
         if self.empty or not text:
             return []
         out = []
@@ -180,10 +181,27 @@ class Matcher:
                 if found and (best is None or found[0] < best[0]):
                     best = (found[0], low, low + found[1])
             if best:
-                out.append((item_id, *best))
+                out.append((item_id, *best, k))
         return out
 
 
+#: Matchers that this worker built last.
+_kept: dict[str, Matcher] = {}
+
+
+def _key(block: list[tuple[int, str]], rate: float) -> str:
+    return hashlib.sha256(repr((rate, block)).encode()).hexdigest()
+
+
+def kept_matcher(key: str, shared, rate: float) -> Matcher:
+    """The matcher of a block, built once per worker and not once per task."""
+    if key not in _kept:
+        while len(_kept) > 1:
+            _kept.pop(next(iter(_kept)))
+        _kept[key] = Matcher(shared.value, rate)
+    return _kept[key]
+
+
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Normalised items in blocks of bounded size, fetched one partition at a time."""
     block, held = [], 0
@@ -204,8 +222,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_id_col: str = "item_id", item_text_col: str = "text", rate: float = RATE,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(id, item_id, edits, budget, found_end) for every document that holds an
-    item, one row per row of ``docs`` and item; ``found_end``: code points of
-    the normalised text up to the end of the best occurrence."""
+    item, one row per row of ``docs`` and row of ``benchmark`` (rows of one item id
+    with different texts are searched each with its own budget); ``found_end``: code
+    points of the normalised text up to the end of the best occurrence."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, item_id bigint, edits int, budget int, found_end bigint"
@@ -213,10 +232,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = spark.createDataFrame([], schema)
     for block in item_blocks(benchmark, item_id_col, item_text_col, block_chars):
         shared = spark.sparkContext.broadcast(block)
-        limits = {i: budget(t, rate) for i, t in block}
+        key = _key(block, rate)
 
-        def match(batches: Iterator[pa.RecordBatch], shared=shared, limits=limits) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
+        def match(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            matcher = kept_matcher(key, shared, rate)
             for part in text_slices(batches, "text"):
                 at, hits = [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
@@ -225,7 +244,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         hits.append(hit)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pa.array(at, pa.int64())), pa.array([h[0] for h in hits], pa.int64()),
-                     pa.array([h[1] for h in hits], pa.int32()), pa.array([limits[h[0]] for h in hits], pa.int32()),
+                     pa.array([h[1] for h in hits], pa.int32()), pa.array([h[4] for h in hits], pa.int32()),
                      pa.array([h[3] for h in hits], pa.int64())],
                     ["id", "item_id", "edits", "budget", "found_end"])
 
@@ -239,10 +258,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
     a filter inside the tasks, without a join."""
     spark, out = docs.sparkSession, docs
     for block in item_blocks(benchmark, item_id_col, item_text_col, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+        shared, key = spark.sparkContext.broadcast(block), _key(block, rate)
 
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            matcher = kept_matcher(key, shared, rate)
             for part in text_slices(batches, text_col):
                 texts = part.column(text_col).to_pylist()
                 yield part.filter(pa.array([not matcher.search(normalize(t)) for t in texts], pa.bool_()))

@@ -183,9 +183,9 @@ def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     return found
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold; a text in
-    very many pairs is a hot key of a join that AQE can split."""
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, str]:
+    """The pairs (a, b) whose exact similarity reaches the threshold, and their folder; a
+    text in very many pairs is a hot key of a join that AQE can split."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, tuple] = {}
 
@@ -198,7 +198,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             return found
 
         for batch in batches:
-            for part in text_slices([batch], "text_a"):
+            for part in text_slices([batch], ("text_a", "text_b")):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 ta, tb = part.column("text_a").to_pylist(), part.column("text_b").to_pylist()
                 linked = [probability_jaccard(of(x, s), of(y, t)) >= threshold
@@ -209,7 +209,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     with_texts = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
                   .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
                   .select("a", "b", "text_a", "text_b"))
-    return materialize(with_texts.mapInArrow(verify, "a bigint, b bigint"), "near-links")[0]
+    return materialize(with_texts.mapInArrow(verify, "a bigint, b bigint"), "near-links")
 
 
 def _packed(texts: DataFrame) -> DataFrame:
@@ -229,8 +229,8 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, _U, n), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.int64)
 
 
-def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between different components in a bucket.
+def _cross_links(members: DataFrame, threshold: float) -> tuple[DataFrame, str]:
+    """Links (a, b) between different components in a bucket, and a folder that the frame reads.
 
     ``members``: band, hash, node, label, prints, sets.  Pairs whose signatures
     agree in enough components are verified exactly where they first share a
@@ -239,7 +239,7 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
     A large bucket is cut into blocks by members and bytes; each member goes to
     the groups (i, j) of its block with every block, so a task holds two."""
     least = COMPONENTS * threshold - 4 * (COMPONENTS * threshold * (1 - threshold)) ** 0.5
-    size, _ = materialize(
+    size, size_path = materialize(
         members.groupBy("band", "hash")
         .agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)),
                         F.ceil(F.sum(F.octet_length("sets")) / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")),
@@ -295,7 +295,7 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
                     b.append(int(node[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("band", "hash", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("band", "hash", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), size_path
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -323,7 +323,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs, pairs_path = materialize(pairs, "near-pairs")
     texts, texts_path = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))),
                                classes, docs, id_col, text_col)
-    links = _verified(pairs, texts, threshold)
+    links, links_path = _verified(pairs, texts, threshold)
     roots = connected_components(links)
 
     # 2. Buckets that still hold several components: links across them.  Every
@@ -338,7 +338,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets, sets_path = materialize(
         _packed(texts.join(members.select("node").distinct(), "node", "left_semi"))
         .join(classes.select("node", "prints"), "node"), "near-sets")
-    more, _ = materialize(_cross_links(members.join(sets, "node"), threshold), "near-links")
+    crossing, size_path = _cross_links(members.join(sets, "node"), threshold)
+    more, more_path = materialize(crossing, "near-links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 
@@ -351,7 +352,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                            ((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")))
                                            .alias("chosen")), "near-named")
     drop_table(spark, classes_path, buckets_path, held_path, pairs_path, texts_path, labelled_path, mixed_path,
-               members_path, sets_path)
+               members_path, sets_path, links_path, more_path, size_path)
     return sketch.select("id", "k1", "k2"), named, [sketch_path, named_path]
 
 
@@ -368,14 +369,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` per near-duplicate group, with all its columns.  The
-    join key holds the id, so the copies of a hot text are spread out and end there."""
-    _, named, _ = near_classes(docs, id_col, text_col, threshold)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64(text).alias("_k1"),
-                        F.xxhash64(F.lit(7), text).alias("_k2"))
-    chosen = named.where("chosen").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
-                                          F.col("class_id").alias("_class"))
-    same = ((keyed["_k1"] == chosen["_k1"]) & (keyed["_k2"] == chosen["_k2"])
-            & keyed[id_col].cast("long").eqNullSafe(chosen["_class"]))
-    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    """One row of ``docs`` per near-duplicate group, with all its columns, whatever their names.
+    The join key holds the id, so the copies of a hot text are spread out and end there."""
+    _, named, paths = near_classes(docs, id_col, text_col, threshold)
+    drop_table(docs.sparkSession, paths[0])
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc_id, text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    keyed = plain.withColumn("k1", F.xxhash64(whole)).withColumn("k2", F.xxhash64(F.lit(7), whole))
+    chosen = named.where("chosen").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "class_id")
+    same = ((F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & F.col(doc_id).cast("long").eqNullSafe(F.col("class_id")))
+    kept = keyed.join(chosen, same, "left_semi").dropDuplicates(["k1", "k2"]).drop("k1", "k2")
+    return kept.toDF(*names)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelkit.llm.common import text_slices
+from parcelkit.llm.common import text_digest, text_slices
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -156,7 +156,10 @@ def held_out(id_col: str):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", max_docs: int = MAX_DOCS) -> Model:
-    """Train on at most ``max_docs`` labelled rows outside the held-out fold."""
+    """Train on at most ``max_docs`` labelled rows outside the held-out fold.
+
+    An id with contradicting labels counts as 1; of several texts of an id the
+    first by digest is learned."""
     chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
               .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(max_docs))
@@ -170,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     # The chosen labels are at most max_docs rows, which bounds the broadcast and what is collected.
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    rows = (sample.dropDuplicates(["id"]).select("id", "label", "text")
+    first = F.min(F.struct(text_digest().alias("digest"), "label", "text")).alias("first")
+    rows = (sample.groupBy("id").agg(first).select("id", "first.label", "first.text")
             .mapInArrow(bags, f"id {docs.schema[id_col].dataType.simpleString()}, label int, buckets binary, counts binary")
             .collect())
     rows.sort(key=lambda r: r["id"])
