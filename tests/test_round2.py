@@ -183,6 +183,7 @@ def test_no_machine_local_scratch_on_a_cluster():
 
 def test_registered_training_queries_run_the_declared_settings(spark, monkeypatch):
     """Each query up to its first fits, of which only the arguments are looked at."""
+    from parcelkit.operators import forest as FO
     from parcelkit.plans import q_ml
     calls = []
 
@@ -195,15 +196,24 @@ def test_registered_training_queries_run_the_declared_settings(spark, monkeypatc
             raise Stop
         return type("Model", (), {"transform": lambda self, x: x.withColumn("prediction", x[label])})()
 
-    def search(*args, space=None, **kw):
-        calls.append(("space", space))
+    def stored(df, features, label, **params):
+        return fit(df, features, label, "random_forest", **params)
+
+    def patient(train_df, validation_df, features, label, **params):   # its first block is shorter than maxIter
+        return fit(train_df, features, label, "gbt", **params)
+
+    def search(df, features, label, key, draws, **kw):
+        assert draws == ML.sample_grid(ML.RF_SEARCH, len(draws)) and kw["base"] == ML.TRAINING_CONFIGS["random_forest"]
+        calls.append(("space", ML.RF_SEARCH))
         raise Stop
 
     frame = spark.createDataFrame([(i, 1, 1, 1, 1.0, float(i), float(i), i % 2, "test" if i % 5 == 0 else "train")
                                    for i in range(40)], [*q_ml.KEY, q_ml.Y, "x", "OWN_OCC", "split"])
     monkeypatch.setattr(q_ml, "_ml_frame", lambda spark, sf: frame)
     monkeypatch.setattr(ML, "train", fit)
-    monkeypatch.setattr(ML, "random_search", search)
+    monkeypatch.setattr(ML, "train_with_patience", patient)
+    monkeypatch.setattr(FO, "stored_forest", stored)
+    monkeypatch.setattr(FO, "search_forest", search)
     forest, boosted = (("random_forest", ML.TRAINING_CONFIGS["random_forest"]), ("gbt", ML.TRAINING_CONFIGS["gbt"]))
     for query, queried, expected in (
             (q_ml.q_rf_score, "rf", [forest]), (q_ml.q_gbt_score, "", [boosted]), (q_ml.q_train_models, "", [forest, boosted]),
