@@ -246,7 +246,25 @@ _ROLE_COLS = ["TOTAL_VALUE", "GROSS_AREA", "YR_BUILT", "HLF_BTH", "ZIP_CODE", "A
               "BLDG_TYPE", "STYLE_TEXT", "l_shipdate", "p_name", "c_nationkey"]
 
 
-@register("column_roles")
+def _role_stats_sql():
+    """One row per column: kind, only 0 and 1, share of time texts, mean length."""
+    parts = []
+    for c in _ROLE_COLS:
+        text, number = f"CAST({c} AS VARCHAR)", f"TRY_CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", typeof(any_value({c})) AS kind, coalesce(bool_and({c} IS NULL OR {number} IN (0, 1)), true) AS zero_one,
+  count(TRY_CAST({text} AS TIMESTAMP)) / nullif(count({c}), 0) AS times, avg(length({text})) AS len FROM dirty""")
+    return " UNION ALL ".join(parts)
+
+
+@register("column_roles", with_ctes(f"""
+SELECT "column", CASE WHEN regexp_matches(lower("column"), 'id|code|pid|upi') THEN 'identifier'
+  WHEN regexp_matches(lower("column"), 'latitude|longitude|coord') THEN 'coordinates'
+  WHEN regexp_matches(lower("column"), 'address|street|city|state') THEN 'address'
+  WHEN contains(lower("column"), 'zip') AND (kind = 'VARCHAR' OR len = 5) THEN 'address'
+  WHEN kind = 'BOOLEAN' THEN 'boolean' WHEN kind = 'DATE' OR starts_with(kind, 'TIMESTAMP') THEN 'datetime'
+  WHEN kind <> 'VARCHAR' THEN CASE WHEN zero_one THEN 'boolean' ELSE 'numerical' END
+  WHEN times >= 0.9 THEN 'datetime' WHEN len > 50 THEN 'text' ELSE 'categorical' END AS role
+FROM ({_role_stats_sql()})""", "dirty"))
 def q_column_roles(spark, sf):
     d = _dirty(spark, sf).select(*_ROLE_COLS)
     return roles_frame(spark, column_roles(d))

@@ -222,6 +222,30 @@ def q_bias_report_json(spark, sf):
     return FA.report_document(rep)
 
 
+_DOC_SCHEMA = """bias_detected boolean,
+  summary struct<status: string, features_analyzed: bigint, features_with_bias: bigint, base_price: double,
+    thresholds: struct<rmse_ratio_upper: double, rmse_ratio_lower: double, r2_threshold: double, mean_prediction_threshold: double>>,
+  significant_disparities array<struct<feature: string, significant: boolean, interpretation: string,
+    disparities: struct<rmse_ratio: double, r2_difference: double, mean_prediction_difference: double>>>"""
+
+
+@register("bias_report_fields", with_ctes("""
+SELECT s.k > 0 AS bias_detected, CASE WHEN s.k > 0 THEN 'Bias Detected' ELSE 'No Significant Bias' END AS status,
+  s.n AS features_analyzed, s.k AS features_with_bias, round(s.bp, 4) AS base_price, s.up AS rmse_ratio_upper, s.lo AS rmse_ratio_lower,
+  s.r2t AS r2_threshold, round(s.bp * s.ps, 4) AS mean_prediction_threshold,
+  r.feature, round(r.rr, 4) AS rmse_ratio, round(r.r2d, 4) AS r2_difference, round(r.mpd, 4) AS mean_prediction_difference
+FROM (SELECT count(*) AS n, CAST(count_if(sig) AS BIGINT) AS k, max(bp) AS bp, CAST(max(up) AS DOUBLE) AS up,
+        CAST(max(lo) AS DOUBLE) AS lo, CAST(max(r2t) AS DOUBLE) AS r2t, max(ps) AS ps FROM flagged) s
+LEFT JOIN flagged r ON r.sig""", "assess", extra=[_HZ_SQL, _BM_SQL, _bias_report_sql(), """flagged AS (
+  SELECT *, (rr > up OR rr < lo OR r2d > r2t OR mpd > bp * ps) AND NOT isnan(rr) AND NOT isinf(rr) AS sig FROM rep)"""]))
+def q_bias_report_fields(spark, sf):
+    """The JSON document read back: its summary beside each significant feature (one row without, if there is none)."""
+    doc = q_bias_report_json(spark, sf).select(F.from_json("report", _DOC_SCHEMA).alias("d")).select("d.*")
+    one = doc.select("bias_detected", "summary.*", F.explode_outer("significant_disparities").alias("f"))
+    return rounded(one.select("bias_detected", "status", "features_analyzed", "features_with_bias", "base_price", "thresholds.*",
+                              "f.feature", "f.disparities.*"))
+
+
 @register("fairness_groups", with_ctes("""
 SELECT HIGH_VALUE_ZIP AS "group", count(*) AS n, round(avg(prediction), 4) AS mean_prediction,
   round(avg(TOTAL_VALUE), 4) AS mean_actual,

@@ -161,13 +161,31 @@ def q_residual_histogram(spark, sf):
     return rounded(P.histogram(a, "residual", 30))
 
 
-@register("markdown_report")
+def _cells_sql(*values):
+    return " || ' | ' || ".join(f"coalesce(format('{{:,.2f}}', {v}), 'N/A')" for v in values)
+
+
+@register("markdown_report", with_ctes(f"""
+SELECT unnest(['# Feature Analysis Report', '', '## Dataset Overview', '- Total Features: ' || count(*),
+  '- Total Samples: ' || (SELECT count(*) FROM prof), '- Original Features: ' || count_if(category = 'Original'),
+  '- Engineered Features: ' || count_if(category = 'Engineered'), '']) AS value FROM profile
+UNION ALL
+SELECT unnest(['## Missing Values', '| Feature | Missing_Values | Missing_Percentage |', '|---|---|---|', ''])
+FROM profile HAVING count_if(missing_values > 0) > 0
+UNION ALL
+SELECT '| ' || feature || ' | ' || missing_values || ' | ' || format('{{:.1f}}', missing_percentage) || '% |'
+FROM profile WHERE missing_values > 0
+UNION ALL
+SELECT unnest(['## Numeric Features', '| Feature | Mean | Std | Min | Max |', '|---|---|---|---|---|', ''])
+UNION ALL
+SELECT '| ' || feature || ' | ' || {_cells_sql('mean', 'std', 'min', 'max')} || ' |'
+FROM profile WHERE type IN ('double', 'bigint', 'int', 'float')""", "dirty", extra=[_PROF_CTE, f"profile AS ({_profile_sql()})"]))
 def q_markdown_report(spark, sf):
     """Markdown summary (A12): overview, missing and numeric tables from the
     profile, written as one text file and read back as lines."""
     from parcelkit.session import scratch_path
     frame = _prof_frame(spark, sf)
-    prof = P.column_profile(frame)
+    prof = rounded(P.column_profile(frame))
     ov = P.overview(frame, prof).first().asDict()
     lines = P.markdown_lines(ov, P.summary_tables(prof))
     path = scratch_path(spark, "feature-report-md")

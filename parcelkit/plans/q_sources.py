@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelkit.operators import validation as V
-from parcelkit.operators.quality import alert_payload, quality_suite
+from parcelkit.operators.quality import DEFAULT_BOUNDS, alert_payload, quality_suite
 from parcelkit.plans import bindings as b
 from parcelkit.plans.oracle import with_ctes
 from parcelkit.plans.registry import register, rounded
@@ -126,9 +126,20 @@ def q_top_values(spark, sf):
     return V.top_values(a, ["BLDG_TYPE", "STYLE", "ZIP_CODE"], 5).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@register("quality_alert")
+_ALERT_MISSING = ["TOTAL_VALUE", "GROSS_AREA", "LIVING_AREA_N", "BLDG_TYPE_N", "YR_REMODEL"]
+_ALERT_BOUNDS = {c: DEFAULT_BOUNDS[c] for c in ("TOTAL_VALUE", "GROSS_AREA")}
+_ALERT_SQL = " UNION ALL ".join(
+    [f"""SELECT 'High missing values in {c}: ' || format('{{:.2f}}', r * 100) || '%' AS message
+FROM (SELECT avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS r FROM dirty) WHERE r > 0.1""" for c in _ALERT_MISSING]
+    + [f"SELECT 'Found ' || n || ' outliers in {c}' FROM (SELECT count_if({c} < {lo} OR {c} > {hi}) AS n FROM dirty) WHERE n > 0"
+       for c, (lo, hi) in _ALERT_BOUNDS.items()])
+
+
+@register("quality_alert", with_ctes(f"""
+SELECT 'Data Quality Alert' AS subject, 'Data quality issues found:' || chr(10) || string_agg(message, chr(10) ORDER BY message) AS body
+FROM ({_ALERT_SQL}) HAVING count(*) > 0""", "dirty"))
 def q_quality_alert(spark, sf):
-    d = b.dirty(spark, sf).select("TOTAL_VALUE", "GROSS_AREA", "LIVING_AREA_N", "BLDG_TYPE_N", "YR_REMODEL")
+    d = b.dirty(spark, sf).select(*_ALERT_MISSING)
     return alert_payload(quality_suite(d))
 
 
