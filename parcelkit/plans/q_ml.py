@@ -12,6 +12,7 @@ from parcelkit.operators import forest as FO
 from parcelkit.operators import metrics as M
 from parcelkit.operators import mitigation as MI
 from parcelkit.operators import ml as ML
+from parcelkit.operators import profile as P
 from parcelkit.operators import ranking as R
 from parcelkit.operators.attribution import permutation_importance
 from parcelkit.plans import bindings as b
@@ -25,6 +26,7 @@ from parcelkit.plans.registry import register, rounded
 from parcelkit.session import cut_lineage, scratch_path
 from parcelkit.sources.tables import read_table, table_path
 from parcelkit.streaming import feedback_stream as ST
+from parcelkit.streaming import retrain_state as RS
 
 KEY = b.ROW_KEY
 Y = "TOTAL_VALUE"
@@ -187,6 +189,39 @@ def q_feature_report(spark, sf):
     return out
 
 
+@register("feature_report_counts", with_ctes("""
+SELECT 'value_counts' AS "table", TT_RMS AS value, count(*) AS n_1, NULL::BIGINT AS n_2 FROM cleaned WHERE TT_RMS IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'room_counts', TT_RMS, count(*), NULL FROM cleaned WHERE TT_RMS IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'regression_line', NULL, CAST(regr_count(BLDG_VALUE, LIVING_AREA) AS BIGINT), NULL FROM cleaned
+UNION ALL
+SELECT 'correlation', NULL, count(*), NULL FROM (SELECT unnest(range(_CORR_)))
+UNION ALL
+SELECT 'value_histogram', NULL, count(*), 50 FROM cleaned""".replace("_CORR_", str(len(set(P.CORRELATION_COLUMNS) - {"BED_RMS"}) ** 2)), "dirty", extra=_CHAIN))
+def q_feature_report_counts(spark, sf):
+    """The counts in the report's tables (K12, K13), read back from their JSON rows: values, room counts, pairs of the regression
+    line, pairs of correlated columns (the records have no BED_RMS), and the rows and bins of the histogram."""
+    rows = cut_lineage(q_feature_report(spark, sf))
+
+    def field(name, kind="bigint"):
+        return F.get_json_object("row", f"$.{name}").cast(kind)
+
+    def part(table):
+        return rows.where(F.col("table") == table)
+
+    none = F.lit(None).cast("bigint")
+    value = F.lit(None).cast("double").alias("value")
+    table = F.col("table")
+    listed = part("value_counts").select(table, field("value", "double").alias("value"), field("count").alias("n_1"), none.alias("n_2"))
+    rooms = part("room_counts").select(table, field("value", "double").alias("value"), field("TT_RMS").alias("n_1"), none.alias("n_2"))
+    line = part("regression_line").select(table, value, field("n").alias("n_1"), none.alias("n_2"))
+    pairs = part("correlation").agg(F.count(F.lit(1)).alias("n_1")).select(F.lit("correlation").alias("table"), value, "n_1", none.alias("n_2"))
+    bins = part("value_histogram").agg(F.sum(field("count")).alias("n_1"), F.count(F.lit(1)).alias("n_2")).select(
+        F.lit("value_histogram").alias("table"), value, "n_1", "n_2")
+    return listed.unionByName(rooms).unionByName(line).unionByName(pairs).unionByName(bins)
+
+
 @register("final_dataset", with_ctes(_ENGINEERED_SQL, "dirty", extra=_CHAIN))
 def q_final_dataset(spark, sf):
     """Engineered X joined back to y (K17), written partitioned by split (A4)
@@ -240,6 +275,26 @@ def q_gbt_score(spark, sf):
     return rounded(m.transform(d.where("split = 'test'")).select(*KEY, Y, "prediction"))
 
 
+_TEST_ROWS_SQL = f"SELECT {KEY_SQL}, TOTAL_VALUE FROM assess WHERE {SPLIT_SQL} = 'test'"
+
+
+@register("score_checks", with_ctes(f"""
+SELECT unnest(['random_forest', 'gbt']) AS model, *, true AS plausible, true AS better FROM ({_TEST_ROWS_SQL})""", "assess"))
+def q_score_checks(spark, sf):
+    """Every test row once per model.  ``plausible``: a forest's prediction, a mean of labels, lies between the least and the
+    largest training label, a boosted one is finite; ``better``: the model's rmse is below that of the mean training label."""
+    d = _ml_frame(spark, sf)
+    lo, hi, mean = d.where("split = 'train'").agg(F.min(Y), F.max(Y), F.avg(Y)).first()
+    boosted, _ = ML.train_with_patience(*_held_out(d), _features(d), Y, **ML.TRAINING_CONFIGS["gbt"])
+    p, parts = F.col("prediction"), []
+    for name, model, ok in (("random_forest", _forest(d), p.between(lo - 1e-6, hi + 1e-6)),
+                            ("gbt", boosted, ~F.isnan(p) & (F.abs(p) < 1e12))):
+        out = _tested(d, model)
+        rmse, base = out.agg(F.sqrt(F.avg(F.pow(F.col(Y) - p, 2))), F.sqrt(F.avg(F.pow(F.col(Y) - F.lit(mean), 2)))).first()
+        parts.append(out.select(F.lit(name).alias("model"), *KEY, Y, ok.alias("plausible"), F.lit(rmse < base).alias("better")))
+    return parts[0].unionByName(parts[1])
+
+
 @register("random_search")
 def q_random_search(spark, sf):
     d = _ml_frame(spark, sf).where("split = 'train'")
@@ -312,6 +367,18 @@ def q_batch_score(spark, sf):
     return ML.score(loaded, d, KEY, version="1").drop("scored_at")
 
 
+@register("batch_score_checks", with_ctes(f"SELECT {KEY_SQL}, '1' AS model_version, true AS as_fitted FROM assess", "assess"))
+def q_batch_score_checks(spark, sf):
+    """Every row scored once by the model that was saved, copied and loaded; ``as_fitted``: as by the fitted one."""
+    d = _ml_frame(spark, sf)
+    path = scratch_path(spark, "model")
+    fitted = _forest(d)
+    FO.copy_forest(fitted, path)
+    first = cut_lineage(fitted.transform(d).withColumnRenamed("prediction", "_fitted"))
+    again = ML.score(FO.load_forest(spark, path), first, [*KEY, "_fitted"], version="1")
+    return again.select(*KEY, "model_version", (F.abs(F.col("prediction") - F.col("_fitted")) < 1e-6).alias("as_fitted"))
+
+
 @register("residual_summary")
 def q_residual_summary(spark, sf):
     from parcelkit.functions.stats import exact_quantiles
@@ -434,6 +501,24 @@ def q_stream_retrain(spark, sf):
     return rounded(ST.stream_retrain(spark, _events_stream(spark, sf)))
 
 
+@register("stream_retrain_state", with_ctes("""
+SELECT 'all' AS feed, d AS day, feedback_count, rmse, mae, avg_deviation, needed AS retrain_needed,
+  needed <> lag(needed, 1, false) OVER (ORDER BY d) AS flipped
+FROM (SELECT d, CAST(coalesce(sum(n), 0) AS BIGINT) AS feedback_count, round(sqrt(sum(sse) / sum(n)), 4) AS rmse,
+        round(sum(sae) / sum(n), 4) AS mae, round(sum(sdev) / sum(n), 4) AS avg_deviation,
+        coalesce(sum(n) >= 50 AND (sqrt(sum(sse) / sum(n)) > 150000 OR sum(sae) / sum(n) > 100000
+                 OR sum(sdev) / sum(n) > 0.3), false) AS needed
+      FROM (SELECT CAST(unnest(generate_series(min(day), CAST(max(newest) - INTERVAL 1 DAY AS DATE) - INTERVAL 1 DAY,
+                                               INTERVAL 1 DAY)) AS DATE) AS d FROM sums)
+      LEFT JOIN sums ON day BETWEEN d - INTERVAL 29 DAY AND d GROUP BY d)""", "feedback", extra=["""sums AS (
+  SELECT CAST(created_at AS DATE) AS day, max(created_at) AS newest, count(*) AS n, sum(abs(actual_price - predicted_price)) AS sae,
+    sum((actual_price - predicted_price) * (actual_price - predicted_price)) AS sse, sum(deviation) AS sdev
+  FROM feedback WHERE confidence >= 7 GROUP BY 1)"""]))
+def q_stream_retrain_state(spark, sf):
+    """The trailing trigger of every day that the watermark has closed, from arbitrary state and timers."""
+    return rounded(RS.stream_retrain_state(spark, _events_stream(spark, sf), every_day=True))
+
+
 @register("stream_validate", with_ctes("SELECT id, reasons = '' AS accepted, reasons FROM feedback_checked",
                                        "feedback_checked"))
 def q_stream_validate(spark, sf):
@@ -453,3 +538,14 @@ def q_stream_score(spark, sf):
     rows = b.with_indicators(b.assess_from_joined(joined))
     feats_stream = FE.model_features(rows, AS_OF, keep=KEY)
     return ST.stream_score(spark, feats_stream, m, KEY).drop("scored_at")
+
+
+@register("stream_score_checks", with_ctes(f"SELECT {KEY_SQL}, '1' AS model_version, count(*) AS n FROM assess GROUP BY ALL", "assess"))
+def q_stream_score_checks(spark, sf):
+    """Rows of the scoring stream per key, counted where the prediction equals the batch model's on the same row."""
+    d = _ml_frame(spark, sf)
+    m = ML.train(d.where("split = 'train'"), _features(d), Y, "linear")
+    batch = m.transform(d).groupBy(*KEY).agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
+    live = q_stream_score(spark, sf)
+    same = live.join(batch, KEY).where(F.col("prediction").between(F.col("lo") - 1e-4, F.col("hi") + 1e-4))
+    return same.groupBy(*KEY, "model_version").agg(F.count(F.lit(1)).alias("n"))
