@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 #: Fixed values of the language: elements without content, without text of the page, inside a line.
@@ -58,6 +59,7 @@ def blocks(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, frozenset]] = []
+    opened: Counter[str] = Counter()   # names on the stack
     parts: list[str] = []
     place: list = []          # elements around the first text of the block
     links, in_link = 0, 0
@@ -86,6 +88,7 @@ def blocks(page: str | None) -> list[Block]:
     def pop() -> None:
         nonlocal in_link
         tag, _ = stack.pop()
+        opened[tag] -= 1
         if tag == "a":
             in_link -= 1
         elif tag not in INLINE:
@@ -113,7 +116,7 @@ def blocks(page: str | None) -> list[Block]:
             break             # cut off by the end of the page
         name = tag[2].lower()
         if tag[1]:
-            if any(t == name for t, _ in stack):
+            if opened[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -136,7 +139,7 @@ def blocks(page: str | None) -> list[Block]:
         if name in CLOSE_P or name in ENDS:
             flush()
             ended = ENDS.get(name, {"p"})
-            k = len(stack) - 1
+            k = len(stack) - 1 if any(opened[t] for t in ended) else -1
             while k >= 0 and (stack[k][0] in ended or stack[k][0] not in LIMITS):
                 if stack[k][0] in ended:
                     while len(stack) > k:
@@ -146,6 +149,7 @@ def blocks(page: str | None) -> list[Block]:
             flush()
         outer = stack[-1][1] if stack else frozenset()
         stack.append((name, outer.union([name], _names(tag[3])) if tag[3] or name not in outer else outer))
+        opened[name] += 1
         if name == "a":
             in_link += 1
     flush()

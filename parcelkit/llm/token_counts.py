@@ -212,7 +212,7 @@ class PrefixCounter:
 
     def parts(self, text: str) -> list[tuple[str, str]]:
         """(normalised segment, special string that follows it or "")."""
-        cut = self._split(text) if "<|" in text else [text]
+        cut = self._split(text) if any(s in text for s in self.specials) else [text]
         return [(self.normalize(cut[i]), cut[i + 1] if i + 1 < len(cut) else "") for i in range(0, len(cut), 2)]
 
     def _learn_pieces(self, pieces: set[str]) -> None:

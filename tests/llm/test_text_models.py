@@ -189,3 +189,11 @@ def test_letter_share_is_of_the_whole_block():
     first, last = "1" * 400 + "a" * 1200 + ".", "a" * 1200 + "1" * 400 + "."
     one, other = (html_extract.features([Block(t, frozenset(), "p", 0, 3)]) for t in (first, last))
     assert one == other
+
+
+def test_deep_pages_with_closing_tags_of_nothing_open():
+    """40,000 open elements and as many closing tags: names of open elements are counted, not searched."""
+    deep = "<b>" * 40_000 + "in" + "</i>" * 40_000 + "side" + "<p>" * 3 + "next</p>" + "</b>" * 40_000 + "<p>last"
+    assert [b.text for b in blocks(deep)] == ["inside", "next", "last"]
+    nested = "<ul>" + "<li>a<ul>" * 50 + "<li>b" + "</ul>" * 50 + "</ul>c"
+    assert [b.text for b in blocks(nested)] == ["a"] * 50 + ["b", "c"]

@@ -1,7 +1,9 @@
 """Prefix token counts and byte-level BPE against the public libraries."""
 import base64
 import hashlib
+import json
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +49,22 @@ def test_code_points_count_as_in_the_library():
     assert [n for n, _ in counter.measure(texts, 9)] == theirs
 
 
+def test_special_strings_of_another_form(tmp_path):
+    """A vocabulary whose special strings do not begin as those of the given file."""
+    spec = json.loads(Path(WORDS).read_text())
+    for i, token in enumerate(spec["added_tokens"]):
+        vocab, own = spec["model"]["vocab"], f"[END{i}]"
+        if token["content"] in vocab:
+            vocab[own] = vocab.pop(token["content"])
+        token["content"] = own
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    counter, library = token_counts.counter(str(path)), Tokenizer.from_file(str(path))
+    assert counter.specials[0] == "[END0]"
+    for text in ("a [END0] b", "[END0][END0]", "one two[END1]", "[END", "<|endoftext|> x", "x[END0]" * 3):
+        assert counter.measure([text], 9)[0][0] == len(library.encode(text, add_special_tokens=False).ids), text
+
+
 def test_token_query(spark):
     library = Tokenizer.from_file(WORDS)
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
