@@ -22,3 +22,8 @@ def test_queries_keep_generated_methods_within_the_jit(spark):
     QUERIES["form_payload"](spark, SF_SMALL)
     assert spark.conf.get(LIMIT) == "9000"
     spark.conf.unset(LIMIT)
+
+
+def test_imputation_joins_its_rows_once(spark):
+    plan = QUERIES["impute_missing"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
