@@ -13,8 +13,11 @@ from parcelkit.plans.oracle import with_ctes
 from parcelkit.plans.registry import register, rounded
 from parcelkit.session import scratch_path
 from parcelkit.sources import files as S
+from parcelkit.sources.tables import read_table
 
 KEY = b.ROW_KEY
+#: Rows that one task sorts for a table aligned by position.
+ROWS_PER_SORT = 1_000_000
 KEY_SQL = ", ".join(KEY)
 FIT_FILTER_SQL = "l_linenumber <= 5 AND p_type <> 'PROMO'"
 
@@ -152,8 +155,10 @@ def q_align_by_position(spark, sf):
     a = b.assess(spark, sf)
     x, y = scratch_path(spark, "x"), scratch_path(spark, "y")
     order = [F.col(c) for c in KEY]
-    a.select(*KEY, "GROSS_AREA").repartitionByRange(5, *order).sortWithinPartitions(*order).write.parquet(x)
-    target = a.repartitionByRange(3, *order).sortWithinPartitions(*order)
+    rows = read_table(spark, sf, "lineitem").count()   # from the footer
+    five, three = (n * max(1, -(-rows // (n * ROWS_PER_SORT))) for n in (5, 3))   # files of other sizes, bounded sorts
+    a.select(*KEY, "GROSS_AREA").repartitionByRange(five, *order).sortWithinPartitions(*order).write.parquet(x)
+    target = a.repartitionByRange(three, *order).sortWithinPartitions(*order)
     target.select("TOTAL_VALUE", F.col("l_extendedprice").alias("price")).write.parquet(y)
     both = align_by_position(spark, x, y)
     return rounded(both.withColumn("same_place", F.col("price") == F.col("l_extendedprice")).drop("price"))

@@ -27,3 +27,14 @@ def test_queries_keep_generated_methods_within_the_jit(spark):
 def test_imputation_joins_its_rows_once(spark):
     plan = QUERIES["impute_missing"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_sorts_of_aligned_tables_are_bounded(spark, monkeypatch):
+    want = sorted(QUERIES["align_by_position"](spark, SF_SMALL).collect())
+    paths = []
+    monkeypatch.setattr(q_sources, "ROWS_PER_SORT", 300)
+    monkeypatch.setattr(q_sources, "scratch_path", lambda s, name: paths.append(scratch_path(s, name)) or paths[-1])
+    assert sorted(QUERIES["align_by_position"](spark, SF_SMALL).collect()) == want
+    for path in paths:
+        most = spark.read.parquet(path).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert most < 900
