@@ -40,6 +40,19 @@ def test_sorts_of_aligned_tables_are_bounded(spark, monkeypatch):
         assert most < 900
 
 
+def test_boosting_reads_bounded_tasks(spark, monkeypatch):
+    path = scratch_path(spark, "one-file")
+    spark.range(1000).selectExpr("id % 7 AS x", "cast(id % 7 + id % 3 AS double) AS y").coalesce(1).write.parquet(path)
+    seen, fit = [], ML.train
+    monkeypatch.setattr(ML, "train", lambda df, *a, **k: seen.append(df.rdd.getNumPartitions()) or fit(df, *a, **k))
+    df = spark.read.parquet(path)
+    monkeypatch.setattr(ML, "ROWS_PER_TASK", 100)
+    assert ML.bounded_tasks(df, 100).rdd.getNumPartitions() == 10
+    assert ML.bounded_tasks(df, 1000).rdd.getNumPartitions() == 1
+    ML.train_with_patience(df, df, ["x"], "y", maxIter=2)
+    assert seen == [10]
+
+
 def _leaf_by_loop(tree, row):
     node = 0
     while tree["left"][node] != node:
