@@ -11,7 +11,7 @@ from parcelkit.operators.quality import DEFAULT_BOUNDS, alert_payload, quality_s
 from parcelkit.plans import bindings as b
 from parcelkit.plans.oracle import with_ctes
 from parcelkit.plans.registry import register, rounded
-from parcelkit.session import scratch_path
+from parcelkit.session import cut_lineage, scratch_path
 from parcelkit.sources import files as S
 from parcelkit.sources.tables import read_table
 
@@ -152,7 +152,7 @@ def q_align_by_position(spark, sf):
     """Features and target in two tables of other file sizes without a common key, put side by side by position.
     ``same_place``: the price that each table carries along agrees."""
     from parcelkit.sources.positions import align_by_position
-    a = b.assess(spark, sf)
+    a = cut_lineage(b.assess(spark, sf, by_order=True).select(*KEY, "GROSS_AREA", "TOTAL_VALUE"))   # joined once, sorted twice
     x, y = scratch_path(spark, "x"), scratch_path(spark, "y")
     order = [F.col(c) for c in KEY]
     rows = read_table(spark, sf, "lineitem").count()   # from the footer
